@@ -353,10 +353,12 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 75, block_d
     size = alive.agg(F.sum(F.octet_length("shared").cast("long") / 8).cast("long")).first()[0] or 0
     lists = alive.mapInArrow(_lists(percent, boundary(light, percent), max(1, -(-size // (1 << 22)))), LIST)
     groups = components(lists.groupBy("seg").applyInArrow(_candidates, EDGE))
-    near = alive.drop("take").join(groups, "node")
-    weight = near.groupBy("label").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.octet_length("shared").cast("long") / 8).alias("shingles"))
+    # the groups' weights and parts from a table without the sets, which move once to their node and once to their task
+    near = alive.select("node", (F.octet_length("shared").cast("long") / 8).alias("size")).join(groups, "node")
+    weight = near.groupBy("label").agg(F.count(F.lit(1)).alias("docs"), F.sum("size").alias("shingles"))
     blocks = F.ceil(F.greatest(F.col("docs") / block_docs, F.col("shingles") / block_shingles)).cast("int")
-    near = near.join(weight.select("label", blocks.alias("blocks")), "label").withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    near = near.join(weight.select("label", blocks.alias("blocks")), "label").select("node", "label", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("part"))
+    near = alive.select("node", "n", "shared").join(near, "node")
     # a group of one block shares a task with others; of more blocks, each pair has a task
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     buckets = max(1, -(-size // block_shingles))

@@ -140,7 +140,7 @@ def minimum_covariance(rows: DataFrame, floor: float, share: float = 0.75, steps
     return hold(estimate)
 
 
-def quality_verdicts(docs: DataFrame, cutoff: float = 60.0, floor: float = 0.06, least: int = 40, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+def quality_verdicts(docs: DataFrame, cutoff: float = 100.0, floor: float = 0.06, least: int = 40, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """doc_id, the base statistics, base_failed, kept, distance for each row of docs (doc_id, text, lang, source)."""
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     rows = written(base_statistics(docs).select("*", failed.alias("base_failed"), *vector()), "statistics")
