@@ -1,15 +1,67 @@
-"""From raw documents to packed sequences: the stages of a training corpus."""
+"""From raw documents to packed sequences: the stages of a training corpus.
+
+Each stage takes what its predecessor kept, whole texts and all columns of
+documents; the last one returns where each piece of a document is packed.
+Documents are told apart by doc_id, which should be unique and not null.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerspark.llm.jaccard_join import similar_groups
+from ledgerspark.llm.language_id import UNKNOWN, language_id
+from ledgerspark.llm.packing import best_fit_packing
+from ledgerspark.llm.quality_rules import quality_verdicts
+from ledgerspark.llm.substring_dedup import substring_dedup
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+LEAST_SCORE = 0.5
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the outlier test reject go."""
+    rejected = quality_verdicts(docs).filter("NOT kept").select("doc_id").distinct()
+    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no known language, or of a doubtful one, go."""
+    rejected = language_id(docs).filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE)).select("doc_id").distinct()
+    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+
 
-STAGES: list = []
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least doc_id stays."""
+    others = similar_groups(docs).filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that an earlier document has go; a document that loses all its words goes too."""
+    out = substring_dedup(docs, with_text=True).filter("n_words = 0 OR n_removed < n_words")
+    rest = {c: F.col("rest").getField(c) for c in docs.columns if c not in ("doc_id", "text", "n_chars")}
+    own = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("rest.n_chars"))}
+    return out.select(*[(own | rest)[c].alias(c) for c in docs.columns])
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of a document goes."""
+    return best_fit_packing(docs)
+
+
+STAGES = [("quality rules", quality), ("language ID", language), ("n-gram Jaccard join", near_duplicates), ("substring dedup", repeated_passages), ("best-fit packing", packed)]
+
+#: The outlier test, the classifier and the packing have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over documents; what a stage keeps is written and read again."""
+    from ledgerspark.llm.common import written
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
