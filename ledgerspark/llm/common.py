@@ -168,6 +168,7 @@ def anchors(gram: np.ndarray, ok: np.ndarray, span: int) -> tuple[np.ndarray, np
         use = np.flatnonzero(ok[a : a + m])
         starts.append(use + a)
         picks.append((U64(0xFFFFFFFF) - (x[use] & U64(0xFFFFFFFF))).astype(np.int64) + a)
+        del part, place, x
     return np.concatenate(starts), np.concatenate(picks)
 
 

@@ -251,7 +251,7 @@ def _jobs(length: int, gram: int, segments: int):
     return seen, shared, around, cover, result
 
 
-def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 64, chunk_bytes: int = 4 << 20) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 64, chunk_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs (doc_id, text)."""
     if not 0 < gram <= length < 1 << 15:
         raise ValueError("0 < gram <= length < 32768 is needed")
