@@ -98,7 +98,7 @@ class ArchiveWriter(DataSourceArrowWriter):
 
 
 class ArchiveReader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
+    def __init__(self, options):  # their names ignore case
         self.path = options["path"]
         self.partition_bytes = int(options.get("partitionBytes", 32 << 20))
         self.batch_bytes = int(options.get("batchBytes", 4 << 20))
@@ -129,6 +129,8 @@ class ArchiveReader(DataSourceReader):
         return body
 
     def read(self, partition):
+        if partition is None:  # no archive at all
+            return
         store, root = opened(self.path)
         where = f"{root}/{partition.archive}"
         schema = pa.schema([("archive", pa.string()), ("offset", pa.int64()), ("name", pa.string()), ("payload", pa.binary())])
@@ -165,7 +167,7 @@ class MediaArchive(DataSource):
         return MEMBERS
 
     def reader(self, schema):
-        return ArchiveReader(dict(self.options))
+        return ArchiveReader(self.options)
 
     def writer(self, schema, overwrite):
         return ArchiveWriter(self.options["path"])

@@ -48,22 +48,29 @@ class _Bytes:
 
     def __init__(self, table: pa.Table, length: int, gram: int):
         self.data, self.off = buffers(table["text"])
-        n = len(self.data) - length + 1
-        self.at = self.low = self.high = np.empty(0, np.int64)
-        self.h = np.empty(0, U64)
+        found = [(np.empty(0, np.int64),) * 3 + (np.empty(0, U64),)]
+        r = runs(self.off[:-1] >> 19)  # pieces of whole texts, about half a MB each: they bound the memory
+        for a, b in zip(r[:-1], r[1:], strict=True):
+            found.append(self.anchored(self.off[a : b + 1], length, gram))
+        self.at, self.low, self.high, self.h = (np.concatenate(x) for x in zip(*found, strict=True))
+
+    def anchored(self, off: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        start, data = off[0], self.data[off[0] : off[-1]]
+        off = off - start
+        n = len(data) - length + 1
+        none = np.empty(0, np.int64)
         if n <= 0:
-            return
-        bad = np.zeros(len(self.data) + 1, np.int32)
-        np.add.at(bad, np.maximum(self.off[:-1], self.off[1:] - length + 1), 1)
-        np.add.at(bad, self.off[1:], -1)
+            return none, none, none, np.empty(0, U64)
+        bad = np.zeros(len(data) + 1, np.int32)
+        np.add.at(bad, np.maximum(off[:-1], off[1:] - length + 1), 1)
+        np.add.at(bad, off[1:], -1)
         whole = np.cumsum(bad[:n]) == 0
-        g = rolling(mix(np.arange(1, 257, dtype=U64))[self.data], gram)
+        g = rolling(mix(np.arange(1, 257, dtype=U64))[data], gram)
         starts, at = anchors(g, whole, length - gram + 1)
         if not len(at):
-            return
+            return none, none, none, np.empty(0, U64)
         r = runs(at)
-        self.at, self.low, self.high = at[r[:-1]], starts[r[:-1]], starts[r[1:] - 1] + length
-        self.h = g[self.at]
+        return at[r[:-1]] + start, starts[r[:-1]] + start, starts[r[1:] - 1] + length + start, g[at[r[:-1]]]
 
     def keys(self, use: np.ndarray) -> np.ndarray:
         """The same for occurrences with the same anchor and the same bytes around it."""
