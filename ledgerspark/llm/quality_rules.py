@@ -144,7 +144,7 @@ def quality_verdicts(docs: DataFrame, cutoff: float = 100.0, floor: float = 0.06
     """doc_id, the base statistics, base_failed, kept, distance for each row of docs (doc_id, text, lang, source)."""
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     rows = written(base_statistics(docs).select("*", failed.alias("base_failed"), *vector()), "statistics")
-    judged = _grouped(rows.filter("NOT base_failed"), least)
+    judged = written(_grouped(rows.filter("NOT base_failed"), least), "judged")
     enough = judged.groupBy("key").count().filter(F.col("count") >= least).select("key")
     estimate = minimum_covariance(judged.join(enough, "key", "left_semi").select("key", *[f"z{i}" for i in range(DIMENSIONS)]), floor)
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
