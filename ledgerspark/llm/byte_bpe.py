@@ -9,7 +9,7 @@ pairs over a linked list of bytes: the pair of least rank is merged, the first
 of equals, until no pair has a rank: O(n log n) for n bytes, so a very long
 pre-token is no trap.
 
-Encoded pre-tokens are remembered up to a bound.  Nothing is shuffled; the
+Encoded pre-tokens are remembered up to a bound (two generations of them).  Nothing is shuffled; the
 vocabulary (its size is fixed) is broadcast.
 
 Defined cases: a missing or empty text has no tokens; a missing doc_id is
@@ -98,44 +98,63 @@ class PerfectHash:
 
 
 class ByteBPE:
-    def __init__(self, ranks: list[tuple[bytes, int]], pattern: str, table: PerfectHash | None = None, remember: int = 1 << 17):
+    def __init__(self, ranks: list[tuple[bytes, int]], pattern: str, table: PerfectHash | None = None, remember: int = 1 << 18):
         self.table = table or PerfectHash([k for k, _ in ranks])
         self.id = np.empty(len(ranks), np.int64)
         self.id[self.table.order] = [r for _, r in ranks]
         self.id = self.id.tolist()
         self.rank, self.pattern, self.remember = dict(ranks), pattern, remember
         self.token = {r: k for k, r in ranks}
+        self.pair = [self.rank.get(bytes((x, y)), -1) for x in range(256) for y in range(256)]
         self.known: dict[str, tuple[str, int]] = {}
+        self.older: dict[str, tuple[str, int]] = {}
+        self.word = {str(r): k for k, r in ranks}  # by the decimal number
         self.find = None
 
     def merged(self, word: bytes) -> list[int]:
         """The ids of a pre-token that is no token: merges by least rank, first from the left."""
-        rank, n = self.rank, len(word)
-        start, end, after, before = list(range(n)), list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank.get(word[i : i + 2])) is not None]
+        rank, n = self.rank.get, len(word)
+        end, after, before = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
+        pair = self.pair
+        heap = [(r, i, i + 2) for i, (x, y) in enumerate(zip(word, word[1:], strict=False)) if (r := pair[x << 8 | y]) >= 0]
         heapq.heapify(heap)
-        gone = [False] * n
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
-            _, i, stop = heapq.heappop(heap)
+            _, i, stop = pop(heap)
             j = after[i]
-            if gone[i] or j >= n or end[j] != stop:
+            if j >= n or end[j] != stop:
                 continue  # one of the two has been merged meanwhile
-            end[i], after[i], gone[j] = stop, after[j], True
-            if after[i] < n:
-                before[after[i]] = i
-                if (r := rank.get(word[i : end[after[i]]])) is not None:
-                    heapq.heappush(heap, (r, i, end[after[i]]))
-            if (p := before[i]) >= 0 and (r := rank.get(word[p:stop])) is not None:
-                heapq.heappush(heap, (r, p, stop))
-        return [rank[word[i : end[i]]] for i in start if not gone[i]]
+            end[i] = stop
+            end[j] = 0
+            after[i] = k = after[j]
+            after[j] = n
+            if k < n:
+                before[k] = i
+                if (r := rank(word[i : end[k]])) is not None:
+                    push(heap, (r, i, end[k]))
+            if (p := before[i]) >= 0 and (r := rank(word[p:stop])) is not None:
+                push(heap, (r, p, stop))
+        out, i, rank = [], 0, self.rank
+        while i < n:
+            out.append(rank[word[i : end[i]]])
+            i = after[i]
+        return out
 
     def learn(self, words: set[str]) -> None:
-        """Remembers the ids of all words, and forgets others if it would be too many."""
-        missing = words.difference(self.known)
+        """Remembers the ids of all words. When there are too many, those not met since the last time are forgotten."""
+        missing = [w for w in words if w not in self.known]
+        if not missing:
+            return
         if len(self.known) + len(missing) > self.remember:
-            self.known.clear()
-            missing = words
-        fresh = list(missing)
+            self.older, self.known = self.known, {}
+            missing = list(words)
+        fresh = []
+        for w in missing:
+            found = self.older.get(w)
+            if found is None:
+                fresh.append(w)
+            else:
+                self.known[w] = found
         raw = [w.encode() for w in fresh]
         for w, b, slot in zip(fresh, raw, self.table.find(raw), strict=True):
             ids = [self.id[slot]] if slot >= 0 else self.merged(b)
@@ -173,7 +192,7 @@ def _encode(model):
                 n_tokens.append(n)
                 ids.append(hashlib.sha256(joined.encode()).hexdigest())
                 # read back from the numbers, not from the pre-tokens
-                decoded.append(hashlib.sha256(bpe.decode(map(int, joined.split(","))) if joined else b"").hexdigest())
+                decoded.append(hashlib.sha256(b"".join([bpe.word[x] for x in joined.split(",")]) if joined else b"").hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return job
