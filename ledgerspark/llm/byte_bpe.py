@@ -9,8 +9,9 @@ pairs over a linked list of bytes: the pair of least rank is merged, the first
 of equals, until no pair has a rank: O(n log n) for n bytes, so a very long
 pre-token is no trap.
 
-Encoded pre-tokens are remembered up to a bound (two generations of them).  Nothing is shuffled; the
-vocabulary (its size is fixed) is broadcast.
+Encoded pre-tokens are remembered up to a bound (two generations of them), for
+as long as a Python worker is reused.  Nothing is shuffled; the vocabulary (its
+size is fixed) is broadcast.
 
 Defined cases: a missing or empty text has no tokens; a missing doc_id is
 returned as it is; strings of special tokens are ordinary text; repeated rows
@@ -106,8 +107,8 @@ class ByteBPE:
         self.rank, self.pattern, self.remember = dict(ranks), pattern, remember
         self.token = {r: k for k, r in ranks}
         self.pair = [self.rank.get(bytes((x, y)), -1) for x in range(256) for y in range(256)]
-        self.known: dict[str, tuple[str, int]] = {}
-        self.older: dict[str, tuple[str, int]] = {}
+        self.known: dict[str, str] = {}
+        self.older: dict[str, str] = {}
         self.word = {str(r): k for k, r in ranks}  # by the decimal number
         self.find = None
 
@@ -142,12 +143,12 @@ class ByteBPE:
 
     def learn(self, words: set[str]) -> None:
         """Remembers the ids of all words. When there are too many, those not met since the last time are forgotten."""
-        missing = [w for w in words if w not in self.known]
+        missing = words.difference(self.known)
         if not missing:
             return
         if len(self.known) + len(missing) > self.remember:
             self.older, self.known = self.known, {}
-            missing = list(words)
+            missing = words
         fresh = []
         for w in missing:
             found = self.older.get(w)
@@ -157,8 +158,7 @@ class ByteBPE:
                 self.known[w] = found
         raw = [w.encode() for w in fresh]
         for w, b, slot in zip(fresh, raw, self.table.find(raw), strict=True):
-            ids = [self.id[slot]] if slot >= 0 else self.merged(b)
-            self.known[w] = (",".join(map(str, ids)), len(ids))
+            self.known[w] = str(self.id[slot]) if slot >= 0 else ",".join(map(str, self.merged(b)))
 
     def encode(self, text: str) -> list[int]:
         joined, _ = self.joined(text)
@@ -168,23 +168,29 @@ class ByteBPE:
         """The ids as decimal numbers with commas between, and how many."""
         if self.find is None:
             self.find = regex.compile(self.pattern).findall
-        out, n, words = [], 0, self.find(text)
+        out, words = [], self.find(text)
         for a in range(0, len(words), 1 << 16):
             part = words[a : a + (1 << 16)]
             self.learn(set(part))
-            found = [self.known[w] for w in part]
-            out.append(",".join([x for x, _ in found]))
-            n += sum([k for _, k in found])
-        return ",".join(out), n
+            out.append(",".join(map(self.known.__getitem__, part)))
+        whole = ",".join(out)
+        return whole, whole.count(",") + 1 if whole else 0
 
     def decode(self, ids) -> bytes:
         return b"".join([self.token[i] for i in ids])
 
 
-def _encode(model):
+#: The last encoder of this Python worker, by its vocabulary and pattern: tasks that follow in the same worker go on with what it remembers.
+_ENCODER: dict[str, ByteBPE] = {}
+
+
+def _encode(model, key: str):
     def job(batches):
-        ranks, pattern, parts = model.value
-        bpe = ByteBPE(ranks, pattern, PerfectHash([k for k, _ in ranks], parts))
+        if key not in _ENCODER:
+            ranks, pattern, parts = model.value
+            _ENCODER.clear()
+            _ENCODER[key] = ByteBPE(ranks, pattern, PerfectHash([k for k, _ in ranks], parts))
+        bpe = _ENCODER[key]
         for batch in batches:
             n_tokens, ids, decoded = [], [], []
             for text in batch.column(1):
@@ -203,4 +209,5 @@ def byte_bpe(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     ranks = read_ranks(path)
     table = PerfectHash([k for k, _ in ranks])
     model = docs.sparkSession.sparkContext.broadcast((ranks, pattern, (table.shift, table.order)))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_encode(model), RESULT)
+    key = hashlib.sha256(repr((ranks, pattern)).encode()).hexdigest()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_encode(model, key), RESULT)
