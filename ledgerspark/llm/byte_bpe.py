@@ -22,6 +22,7 @@ ignored.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import heapq
 
@@ -99,7 +100,7 @@ class PerfectHash:
 
 
 class ByteBPE:
-    def __init__(self, ranks: list[tuple[bytes, int]], pattern: str, table: PerfectHash | None = None, remember: int = 1 << 18):
+    def __init__(self, ranks: list[tuple[bytes, int]], pattern: str, table: PerfectHash | None = None, remember: int = 1 << 19):
         self.table = table or PerfectHash([k for k, _ in ranks])
         self.id = np.empty(len(ranks), np.int64)
         self.id[self.table.order] = [r for _, r in ranks]
@@ -113,32 +114,30 @@ class ByteBPE:
         self.find = None
 
     def merged(self, word: bytes) -> list[int]:
-        """The ids of a pre-token that is no token: merges by least rank, first from the left."""
-        rank, n = self.rank.get, len(word)
-        end, after, before = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = self.pair
+        """The ids of a pre-token that is no token: merges by least rank, first from the left.
+
+        A part is named by its first byte i and linked both ways: end[i] is where it ends and the next begins, before[e]
+        where the part that ends at e begins.  A part that is merged away ends at n + 1, and nothing ends there.
+        """
+        rank, pair, n = self.rank.get, self.pair, len(word)
+        end, before = [*range(1, n + 1), -1, -1], list(range(-1, n))
         heap = [(r, i, i + 2) for i, (x, y) in enumerate(zip(word, word[1:], strict=False)) if (r := pair[x << 8 | y]) >= 0]
         heapq.heapify(heap)
         pop, push = heapq.heappop, heapq.heappush
         while heap:
             _, i, stop = pop(heap)
-            j = after[i]
-            if j >= n or end[j] != stop:
+            j = end[i]
+            if end[j] != stop:
                 continue  # one of the two has been merged meanwhile
-            end[i] = stop
-            end[j] = 0
-            after[i] = k = after[j]
-            after[j] = n
-            if k < n:
-                before[k] = i
-                if (r := rank(word[i : end[k]])) is not None:
-                    push(heap, (r, i, end[k]))
-            if (p := before[i]) >= 0 and (r := rank(word[p:stop])) is not None:
-                push(heap, (r, p, stop))
+            end[i], end[j], before[stop] = stop, n + 1, i
+            if stop < n and (r := rank(word[i : end[stop]])) is not None:
+                push(heap, (r, i, end[stop]))
+            if i and (r := rank(word[before[i] : stop])) is not None:
+                push(heap, (r, before[i], stop))
         out, i, rank = [], 0, self.rank
         while i < n:
             out.append(rank[word[i : end[i]]])
-            i = after[i]
+            i = end[i]
         return out
 
     def learn(self, words: set[str]) -> None:
@@ -191,15 +190,21 @@ def _encode(model, key: str):
             _ENCODER.clear()
             _ENCODER[key] = ByteBPE(ranks, pattern, PerfectHash([k for k, _ in ranks], parts))
         bpe = _ENCODER[key]
-        for batch in batches:
-            n_tokens, ids, decoded = [], [], []
-            for text in batch.column(1):
-                joined, n = bpe.joined(text.as_py() or "")
-                n_tokens.append(n)
-                ids.append(hashlib.sha256(joined.encode()).hexdigest())
-                # read back from the numbers, not from the pre-tokens
-                decoded.append(hashlib.sha256(b"".join([bpe.word[x] for x in joined.split(",")]) if joined else b"").hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        collecting = gc.isenabled()
+        gc.disable()  # millions of live strings and no cycles: collections would only go over them again and again
+        try:
+            for batch in batches:
+                n_tokens, ids, decoded = [], [], []
+                for text in batch.column(1):
+                    joined, n = bpe.joined(text.as_py() or "")
+                    n_tokens.append(n)
+                    ids.append(hashlib.sha256(joined.encode()).hexdigest())
+                    # read back from the numbers, not from the pre-tokens
+                    decoded.append(hashlib.sha256(b"".join(map(bpe.word.__getitem__, joined.split(","))) if joined else b"").hexdigest())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            if collecting:
+                gc.enable()
 
     return job
 
