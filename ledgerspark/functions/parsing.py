@@ -7,7 +7,9 @@ row goes to quarantine instead of losing the value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLANKS = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]+"
@@ -23,6 +25,23 @@ def text(c: Column) -> Column:
     return F.nullif(utrim(c), F.lit(""))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, which is computed once, wherever body has it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with more columns, each computed once a row.
+
+    A generator of one row stands between the columns and what uses them: the
+    optimizer would otherwise put the whole expression wherever a later
+    projection or a filter names its column, and a filter on a column of
+    a column of a split line then splits it hundreds of times.
+    """
+    values = F.struct(*[v.alias(k) for k, v in columns.items()])
+    return df.select(*[c for c in df.columns if c not in columns], F.inline(F.array(values)))
+
+
 def split_line(line: Column) -> Column:
     """Fields between semicolons. A quote opens or closes quoting anywhere in a field, two within quotes are one.
 
@@ -31,12 +50,12 @@ def split_line(line: Column) -> Column:
     fields. The mark that stands for these is escaped where a line has it.
     """
     safe = F.replace(F.replace(line, F.lit("\\"), F.lit("\\\\")), F.lit(MARK), F.lit("\\m"))
-    pieces = F.split(safe, '"', -1)
-    joined = F.array_join(
+    unquoted = lambda pieces: F.array_join(
         F.transform(pieces, lambda x, i: F.when(i % 2 == 1, x).when((x == "") & (i > 0) & (i < F.size(pieces) - 1), F.lit('"')).otherwise(F.replace(x, F.lit(";"), F.lit(MARK)))), ""
     )
+    joined = bound(F.split(safe, '"', -1), unquoted)
     fields = F.split(F.when(line.contains('"'), joined).otherwise(F.replace(safe, F.lit(";"), F.lit(MARK))), MARK, -1)
-    return F.when(line.contains("\\") | line.contains(MARK), F.transform(fields, _unescape)).otherwise(fields)
+    return bound(fields, lambda f: F.when(line.contains("\\") | line.contains(MARK), F.transform(f, _unescape)).otherwise(f))
 
 
 def _unescape(x: Column) -> Column:

@@ -16,21 +16,23 @@ def normalized(lines: DataFrame, layout: tuple[Field, ...], defaults: dict[str,
     order, values.  Codes that are blank are replaced before.
     """
     defaults = defaults or {}
-    rows = lines.withColumn("__fields", P.split_line(F.col(line)))
+    rows = P.once(lines, __fields=P.split_line(F.col(line)))
     fitted, count_error = P.fit_fields(F.col("__fields"), len(layout))
-    rows = rows.withColumn("__error", count_error).withColumn("__fields", fitted)
-    values, missing, wrong = {}, [], []
+    rows = P.once(rows, __fields=fitted, __error=count_error)
+    values, missing, wrong = {}, [], {}
     for i, f in enumerate(layout):
         raw = F.col("__fields")[i]
         value, error = P.PARSERS[f.kind](raw)
         if f.name in defaults:
             value = F.coalesce(value, F.lit(defaults[f.name]))
-        values[f.name] = value
-        wrong.append(error)
-        if f.required:
-            blank = F.lit(False) if f.name in defaults else P.text(raw).isNull()
-            missing.append(F.when(blank, F.lit(f"Missing required value for {f.name}.")))
-    return rows.select(*[c for c in lines.columns], *[v.alias(k) for k, v in values.items()], F.coalesce("__error", *missing, *wrong).alias("error"))
+        values[f.name], wrong[f"__wrong{i}"] = value, error
+        if f.required and f.name not in defaults:
+            # only text is null because it is blank; other kinds are null as well where they can't be read
+            blank = F.col(f.name) if f.kind == "text" else P.text(F.col("__fields")[i])
+            missing.append(F.when(blank.isNull(), F.lit(f"Missing required value for {f.name}.")))
+    others = [c for c in lines.columns if c not in values]
+    rows = rows.select(*others, "__fields", "__error", *[v.alias(k) for k, v in (values | wrong).items()])
+    return P.once(rows, error=F.coalesce("__error", *missing, *wrong)).select(*others, *values, "error")
 
 
 def dataset_rows(lines: DataFrame, dataset: str) -> DataFrame:
