@@ -71,34 +71,34 @@ def fit_fields(fields: Column, expected: int) -> tuple[Column, Column]:
     return F.when(ok, padded), F.when(~ok, F.concat(F.lit("Unexpected field count: "), F.size(fields).cast("string"), F.lit(f" instead of {expected}.")))
 
 
-def numeric(c: Column) -> tuple[Column, Column]:
+def numeric(c: Column, trimmed: bool = False) -> tuple[Column, Column]:
     """1.234,56 and 1234,56 and 1234.56; two decimals."""
-    t = text(c)
+    t = c if trimmed else text(c)
     plain = F.when(t.contains(","), F.replace(F.when(t.contains("."), F.replace(t, F.lit("."), F.lit(""))).otherwise(t), F.lit(","), F.lit("."))).otherwise(t)
     value = plain.try_cast("decimal(18,2)")
     return value, F.when(t.isNotNull() & value.isNull(), F.concat(F.lit("Invalid numeric value: "), t))
 
 
-def integer(c: Column) -> tuple[Column, Column]:
-    t = text(c)
+def integer(c: Column, trimmed: bool = False) -> tuple[Column, Column]:
+    t = c if trimmed else text(c)
     return F.when(t.rlike("^-?[0-9]+$"), t.try_cast("bigint")), F.lit(None).cast("string")
 
 
-def date(c: Column) -> tuple[Column, Column]:
+def date(c: Column, trimmed: bool = False) -> tuple[Column, Column]:
     """yyyymmdd; zeros are null, other formats too; impossible days have an error."""
-    t = text(c)
+    t = c if trimmed else text(c)
     shaped = t.rlike("^[0-9]{8}$") & (t != "00000000")
     value = F.when(shaped, F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2)).try_cast("date"))
     value = F.when(F.year(value) >= 1, value)
     return value, F.when(shaped & value.isNull(), F.concat(F.lit("Invalid date value: "), t))
 
 
-def boolean(c: Column) -> tuple[Column, Column]:
-    t = F.lower(utrim(c))
+def boolean(c: Column, trimmed: bool = False) -> tuple[Column, Column]:
+    t = F.lower(c if trimmed else utrim(c))
     return F.when(t.isin("1", "true", "t", "y", "yes", "s"), True).when(t.isin("0", "false", "f", "n", "no"), False), F.lit(None).cast("string")
 
 
-PARSERS = {"text": lambda c: (text(c), F.lit(None).cast("string")), "integer": integer, "numeric": numeric, "date": date, "boolean": boolean}
+PARSERS = {"text": lambda c, trimmed=False: (c if trimmed else text(c), F.lit(None).cast("string")), "integer": integer, "numeric": numeric, "date": date, "boolean": boolean}
 
 
 def classify(message: Column) -> Column:

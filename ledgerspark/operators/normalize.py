@@ -18,18 +18,16 @@ def normalized(lines: DataFrame, layout: tuple[Field, ...], defaults: dict[str,
     defaults = defaults or {}
     rows = P.once(lines, __fields=P.split_line(F.col(line)))
     fitted, count_error = P.fit_fields(F.col("__fields"), len(layout))
-    rows = P.once(rows, __fields=fitted, __error=count_error)
+    rows = P.once(rows, __fields=F.transform(fitted, P.text), __error=count_error)
     values, missing, wrong = {}, [], {}
     for i, f in enumerate(layout):
         raw = F.col("__fields")[i]
-        value, error = P.PARSERS[f.kind](raw)
+        value, error = P.PARSERS[f.kind](raw, trimmed=True)
         if f.name in defaults:
             value = F.coalesce(value, F.lit(defaults[f.name]))
         values[f.name], wrong[f"__wrong{i}"] = value, error
         if f.required and f.name not in defaults:
-            # only text is null because it is blank; other kinds are null as well where they can't be read
-            blank = F.col(f.name) if f.kind == "text" else P.text(F.col("__fields")[i])
-            missing.append(F.when(blank.isNull(), F.lit(f"Missing required value for {f.name}.")))
+            missing.append(F.when(raw.isNull(), F.lit(f"Missing required value for {f.name}.")))
     others = [c for c in lines.columns if c not in values]
     rows = rows.select(*others, "__fields", "__error", *[v.alias(k) for k, v in (values | wrong).items()])
     return P.once(rows, error=F.coalesce("__error", *missing, *wrong)).select(*others, *values, "error")
@@ -44,13 +42,14 @@ def valid(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("error").isNull()).drop("error")
 
 
-def quarantined(rows: DataFrame, dataset: str, file_path: Column, row_number: Column, layout: tuple[Field, ...] | None = None) -> DataFrame:
-    """The rows with an error, as quarantine records."""
+def quarantined(rows: DataFrame, dataset: str, file_path: Column, row_number: Column, layout: tuple[Field, ...] | None = None, id_: Column | None = None) -> DataFrame:
+    """The rows with an error, as quarantine records; with an id where one is given."""
+    ids = [] if id_ is None else [id_.cast("long").alias("id")]
     kind = P.classify(F.col("error"))
     payload = F.to_json(F.struct(*[F.col(f.name) for f in layout or LAYOUTS[dataset]]), {"ignoreNullFields": "false"})
     from_parser = F.col("error").startswith("Unexpected field count") | F.col("error").startswith("Missing required")
     return rows.filter(F.col("error").isNotNull()).select(
-        F.lit(dataset).alias("dataset"), file_path.alias("file_path"), row_number.cast("long").alias("row_number"),
+        *ids, F.lit(dataset).alias("dataset"), file_path.alias("file_path"), row_number.cast("long").alias("row_number"),
         F.when(from_parser, "VALIDATION_ERROR").otherwise("QUARANTINED_ROW").alias("error_code"), kind["category"].alias("error_category"),
         F.lit(None).cast("string").alias("error_stage"), F.col("error").alias("error_message"), F.col("value").alias("raw_line"),
         F.when(~from_parser, payload).alias("parsed_payload"), F.lit(0).alias("retry_count"), kind["retryable"].alias("can_retry_later"),

@@ -1,8 +1,8 @@
 """Tables of Parquet snapshots: appends, upserts, deletes by anti join, atomic swaps.
 
-A table is a folder with a folder a snapshot and a small file that names the
-current one.  A change writes a new snapshot and then the name, so readers see
-the old or the new state, and a failed job leaves the old one.  One writer at a
+A table is a folder with folders of rows and a small file that names those of
+the current state.  A change writes a new folder and then the names, so readers
+see the old or the new state, and a failed job leaves the old one.  One writer at a
 time is assumed.
 """
 
@@ -19,32 +19,40 @@ class Table:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def _current(self) -> str | None:
+    def _parts(self) -> list[str]:
+        """The folders that make up the current state."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
         store = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not store.exists(hadoop):
-            return None
-        return self.spark.read.text(f"{self.path}/CURRENT").first()[0]
+            return []
+        return sorted(r[0] for r in self.spark.read.text(f"{self.path}/CURRENT").collect())
 
     def read(self) -> DataFrame:
-        now = self._current()
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{now}") if now else self.spark.createDataFrame([], self.schema)
+        parts = self._parts()
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{p}" for p in parts]) if parts else self.spark.createDataFrame([], self.schema)
 
-    def replace(self, rows: DataFrame) -> None:
+    def _write(self, rows: DataFrame) -> str:
         name = f"snapshot-{uuid.uuid4().hex}"
         rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]).write.parquet(f"{self.path}/{name}")
+        return name
+
+    def _name(self, parts: list[str]) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        new, final = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_{name}"), jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
+        new, final = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_{uuid.uuid4().hex}"), jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
         store = new.getFileSystem(conf)
         out = store.create(new, True)
-        out.write(bytearray(name.encode()))
+        out.write(bytearray("\n".join(parts).encode()))
         out.close()
         store.delete(final, False)
         if not store.rename(new, final):
             raise OSError(f"{final} could not be written")
 
+    def replace(self, rows: DataFrame) -> None:
+        self._name([self._write(rows)])
+
     def append(self, rows: DataFrame) -> None:
-        self.replace(self.read().unionByName(rows.select(*self.schema.names)))
+        """Writes the new rows only; the state's list of folders gets one more."""
+        self._name([*self._parts(), self._write(rows)])
 
     def truncate(self) -> None:
         self.replace(self.spark.createDataFrame([], self.schema))
