@@ -222,11 +222,13 @@ def _lists(percent: int, most: int, segments: int):
             keys, nodes = [np.empty(0, U64)], [np.empty(0, np.int64)]
             for x in batch.to_pylist():
                 h, n = np.frombuffer(x["shared"], U64), x["n"]
-                found = [np.array(subsets(h, n, percent, most), U64)] if n <= most else []
+                found = []  # with a salt for each kind: list entries meet list entries, subsets meet subsets
                 if n > most or partners(n, percent)[-1] > most:
-                    found.append(h[: x["take"]])
-                keys += [mix(k + U64(i)) for i, k in enumerate(found[::-1])]
-                nodes += [np.full(len(k), x["node"]) for k in found]
+                    found.append((0, h[: x["take"]]))
+                if n <= most:
+                    found.append((1, np.array(subsets(h, n, percent, most), U64)))
+                keys += [mix(k + U64(salt)) for salt, k in found]
+                nodes += [np.full(len(k), x["node"]) for _, k in found]
             keys, nodes = np.concatenate(keys), np.concatenate(nodes)
             order = np.argsort(keys, kind="stable")
             keys, nodes = keys[order], nodes[order]

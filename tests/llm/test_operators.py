@@ -14,7 +14,7 @@ from ledgerspark.llm import queries as LQ
 from ledgerspark.llm.byte_bpe import ByteBPE, PerfectHash, byte_bpe, read_ranks
 from ledgerspark.llm.chat_format import chat_digest, chat_windows, escaped, unescaped
 from ledgerspark.llm.components import components
-from ledgerspark.llm.jaccard_join import boundary, overlap, partners, similar_groups, subsets
+from ledgerspark.llm.jaccard_join import _candidates, _lists, boundary, overlap, partners, similar_groups, subsets
 from ledgerspark.llm.language_id import language_id
 from ledgerspark.llm.lm_scoring import lm_scores
 from ledgerspark.llm.media import MediaArchive, media_features
@@ -160,6 +160,43 @@ def test_light_sets_meet():
     assert boundary({}, 75) == 0 and boundary({1: (100, 10000)}, 75) >= 1
 
 
+@pytest.fixture(scope="module")
+def near_copies(spark, tmp_path_factory):
+    """Pairs of a text of 5 to 14 words and the same with a word more, fewer or changed; no third text joins them."""
+    data = []
+    for k in range(5, 15):
+        for v, change in enumerate((lambda w: [*w, "more"], lambda w: w[:-1], lambda w: [*w[:-1], "other"], lambda w: ["other", *w], lambda w: [*w, "two", "more"])):
+            w = [f"w{k}x{v}x{i}" for i in range(k)]
+            data += [(len(data), " ".join(w)), (len(data) + 1, " ".join(change(w)))]
+    path = str(tmp_path_factory.mktemp("near"))
+    spark.createDataFrame(data, "doc_id long, text string").coalesce(2).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), data
+
+
+@pytest.mark.parametrize("x", range(11))
+def test_similar_sets_meet_at_each_boundary(x):
+    import numpy as np
+    import pyarrow as pa
+
+    for n in range(1, 15):
+        for m in partners(n, 75):
+            if n <= m <= 14:
+                shared = np.arange(1, overlap(n, m, 75) + 1, dtype=np.uint64)
+                take = [k - -(-75 * k // 100) + 1 - (k - len(shared)) for k in (n, m)]
+                batch = pa.RecordBatch.from_pylist([{"node": i, "n": k, "shared": shared.tobytes(), "take": t} for i, k, t in zip((0, 1), (n, m), take, strict=True)])
+                found = _candidates(pa.Table.from_batches(list(_lists(75, x, 1)([batch]))))
+                assert found.to_pylist() == [{"a": 1, "b": 0}], (n, m)
+
+
+@pytest.mark.parametrize("x", [0, 10])
+def test_similar_groups_at_boundary(near_copies, monkeypatch, x):
+    d, data = near_copies
+    monkeypatch.setattr("ledgerspark.llm.jaccard_join.boundary", lambda stats, percent: x)
+    want = brute_groups(data)
+    assert rows(similar_groups(d)) == want
+    assert sum(r[0] != r[2] for r in want) > 15
+
+
 def test_components(spark):
     r = random.Random(3)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
