@@ -6,19 +6,20 @@ its own, so the level is read back by probing level 1, 2, ... until a probe
 misses.  The filter never underrates a level, and overrates one only by false
 positives.
 
-The filter has a fixed size, ``filter_bytes``, whatever the corpus, and that
-bound is what is broadcast.  It is cut into segments by hash; the segment's
-task gathers the counts of its n-grams from all of the corpus.  If they need
-more room than the segment has, the segment raises the least count that it
-takes in, for n-grams of two and more words first: counting covers all data
-and behaves alike at every size, only the model's resolution is bounded.
+The filter is cut into segments by hash, about as many as there are chunks of
+texts.  A segment's task gathers the counts of its n-grams from all of the
+corpus, makes its part of the filter as large as they need (``bits_an_entry``
+for each level of each n-gram, and no less than its part of ``filter_bytes``),
+and takes all of them in: the filter grows with the corpus and drops nothing.
+It is broadcast nowhere.  Each chunk asks the segments for the levels of its
+different n-grams and gets a byte for each.
 
 Probabilities are smoothed by the lower order: with context h,
 P(w|h) = (c(hw) + k P(w|h')) / (c(h) + k), down to P(w) = (c(w) + 1) / (N + V + 1).
 
-The base score needs exact counts c(w), N and V.  Each chunk of texts asks the
-words' segments for the counts of its different words and gets N and V with
-the answers; nothing of the vocabulary's size is collected or broadcast.
+The base score needs exact counts c(w), N and V, which the words' segments
+know and send with the answers; nothing of the vocabulary's size is collected
+or broadcast.
 
 Defined cases: a missing text is empty and scores its end token alone; a
 missing doc_id counts as the empty string for the split (crc32 0: training); an
@@ -39,10 +40,9 @@ from .substring_dedup import _table
 END, START = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 LEVELS = 48
 PROBES = 4
-COUNTS = "seg int, n int, h binary, c binary"
-BITS = "seg int, bits binary"
-ASK = "seg int, chunk int, h binary, c binary"
-ANSWER = "chunk int, seg int, c binary, total long, different long"
+WORD, GRAM = 0, 1
+ASK = "seg int, chunk int, kind int, h binary, c binary"
+ANSWER = "chunk int, seg int, kind int, level binary, c binary, total long, different long"
 
 
 def held_out(divisor: int = 7, remainder: int = 2) -> Column:
@@ -95,23 +95,10 @@ def _counted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h[r[:-1]], np.diff(r)) if len(h) else (h, np.empty(0, np.int64))
 
 
-def _train(order: int, segments: int):
-    def job(batches):
-        for batch in batches:
-            tok, place = tokens(batch.column(0))
-            out: dict[str, list] = {"seg": [], "n": [], "h": [], "c": []}
-            for n, (gram, _) in enumerate(grams(tok, place, order), 1):
-                extra = np.full(len(place) - 1, mix(np.array([START]))[0] if n == 1 else 0, U64)
-                if n > 1:  # contexts at the start of a text
-                    start = mix(np.array([START]))
-                    extra[:] = mix(start + U64(n))[0]
-                h, c = _counted(np.concatenate((gram, extra)))
-                for seg, a, b in cut(h, segments):
-                    for name, value in zip(out, (seg, n, raw(h[a:b]), raw(c[a:b].astype(np.uint32))), strict=True):
-                        out[name].append(value)
-            yield from _table(out, COUNTS).to_batches()
-
-    return job
+def _start(n: int) -> np.uint64:
+    """The n-gram that stands before a text, the context of its first token."""
+    start = mix(np.array([START]))
+    return start[0] if n == 1 else mix(start + U64(n))[0]
 
 
 def _place(h: np.ndarray, level: int, n_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,61 +114,36 @@ def levels(c: np.ndarray) -> np.ndarray:
     return np.minimum(1 + np.floor(np.log2(np.maximum(c, 1))).astype(np.int64), LEVELS)
 
 
-def _segment_filter(n_words: int, bits_an_entry: float):
-    def job(key, table):
-        room = n_words * 64 / bits_an_entry
-        bits = np.zeros(n_words, U64)
-        orders = np.repeat(table["n"].to_numpy(), [len(x) // 8 for x in table["h"].to_pylist()])
-        h = np.concatenate([np.frombuffer(x, U64) for x in table["h"].to_pylist()])
-        c = np.concatenate([np.frombuffer(x, np.uint32) for x in table["c"].to_pylist()]).astype(np.int64)
-        for n in sorted(set(orders.tolist())):
-            own, count = _summed(h[orders == n], c[orders == n])
-            level = levels(count)
-            allowed = room / 2 if n == 1 and len(set(orders.tolist())) > 1 else room
-            least = 1
-            while level[count >= least].sum() > allowed:
-                least += 1 if least < 64 else least
-            use = count >= least
-            own, level = own[use], level[use]
-            room -= level.sum()
-            for j in range(1, int(level.max(initial=0)) + 1):
-                at, mask = _place(own[level >= j], j, n_words)
-                np.bitwise_or.at(bits, at, mask)
-        return _table({"seg": [key[0].as_py()], "bits": [raw(bits)]}, BITS)
-
-    return job
-
-
 class LogBloom:
-    """The filter: an estimate of the count of each n-gram, from its hash."""
+    """A segment's filter: an estimate of the level of each n-gram, from its hash."""
 
-    def __init__(self, bits: np.ndarray, segments: int):
-        self.bits, self.segments = bits, segments
+    def __init__(self, h: np.ndarray, count: np.ndarray, least_words: int, bits_an_entry: float):
+        h, level = h[count > 0], levels(count[count > 0])
+        self.bits = np.zeros(max(1, least_words, int(np.ceil(level.sum() * bits_an_entry / 64))), U64)
+        for j in range(1, int(level.max(initial=0)) + 1):
+            at, mask = _place(h[level >= j], j, len(self.bits))
+            np.bitwise_or.at(self.bits, at, mask)
 
-    def counts(self, h: np.ndarray) -> np.ndarray:
-        size = len(self.bits) // self.segments
-        base = (((h >> U64(32)) * U64(self.segments)) >> U64(32)).astype(np.int64) * size
-        level, alive = np.zeros(len(h), np.int64), np.arange(len(h))
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        level, alive = np.zeros(len(h), np.uint8), np.arange(len(h))
         for j in range(1, LEVELS + 1):
-            at, mask = _place(h[alive], j, size)
-            alive = alive[(self.bits[at + base[alive]] & mask) == mask]
+            at, mask = _place(h[alive], j, len(self.bits))
+            alive = alive[(self.bits[at] & mask) == mask]
             if not len(alive):
                 break
             level[alive] = j
-        return np.where(level > 0, (2.0**level + 2.0 ** (level - 1) - 1) / 2, 0.0)
+        return level
 
 
-def train(docs: DataFrame, order: int = 2, filter_bytes: int = 32 << 20, segments: int = 64, bits_an_entry: float = 10.0) -> LogBloom:
-    """The filter over all rows of docs (text). Its size is filter_bytes at any corpus size."""
-    n_words = filter_bytes // 8 // segments
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_train(order, segments), COUNTS)
-    bits = np.zeros(n_words * segments, U64)
-    for row in counts.groupBy("seg").applyInArrow(_segment_filter(n_words, bits_an_entry), BITS).toLocalIterator():
-        bits[row["seg"] * n_words : (row["seg"] + 1) * n_words] = np.frombuffer(row["bits"], U64)
-    return LogBloom(bits, segments)
+def estimate(level: np.ndarray) -> np.ndarray:
+    """The count that a level stands for."""
+    level = level.astype(np.float64)
+    return np.where(level > 0, (2.0**level + 2.0 ** (level - 1) - 1) / 2, 0.0)
 
 
-def _jobs(model, order: int, smoothing: float, segments: int):
+def _jobs(order: int, smoothing: float, segments: int, filter_bytes: int, bits_an_entry: float):
+    starts = np.array([_start(n) for n in range(1, order)], U64)
+
     def parts(table):
         """The chunk in pieces of about 1 MB, to bound the memory."""
         at = np.cumsum(np.diff(buffers(table["text"])[1])) >> 20
@@ -189,43 +151,58 @@ def _jobs(model, order: int, smoothing: float, segments: int):
         return [table.slice(int(a), int(b - a)) for a, b in zip(r[:-1], r[1:], strict=True) if b > a]
 
     def ask(key, table):
-        every, learnt = [np.empty(0, U64)], [np.empty(0, U64)]
+        found: dict[int, list] = {WORD: [], GRAM: []}
         for part in parts(table):
             tok, place = tokens(part["text"])
-            train_row = ~part["held_out"].to_numpy(zero_copy_only=False)
-            every.append(_counted(tok)[0])
-            learnt.append(tok[np.repeat(train_row, np.diff(place))])
-        h = _counted(np.concatenate(every))[0]
-        own, count = _counted(np.concatenate(learnt))
-        c = np.zeros(len(h), np.uint32)
-        c[np.searchsorted(h, own)] = count
-        cuts = {seg: (a, b) for seg, a, b in cut(h, segments)}
-        out: dict[str, list] = {"seg": [], "chunk": [], "h": [], "c": []}
-        for seg in range(segments):  # also those that have none of its words: they tell N and V
-            a, b = cuts.get(seg, (0, 0))
-            for name, value in zip(out, (seg, key[0].as_py(), raw(h[a:b]), raw(c[a:b])), strict=True):
-                out[name].append(value)
+            learnt = ~part["held_out"].to_numpy(zero_copy_only=False)
+            one = np.repeat(learnt, np.diff(place)).astype(np.int64)
+            found[WORD].append(_summed(tok, one))
+            found[GRAM] += [_summed(gram, one) for n, (gram, _) in enumerate(grams(tok, place, order), 1) if n > 1]
+            found[GRAM].append((starts, np.full(len(starts), int(learnt.sum()))))
+        out: dict[str, list] = {"seg": [], "chunk": [], "kind": [], "h": [], "c": []}
+        for kind, pieces in found.items():
+            h, c = _summed(*(np.concatenate(x) for x in zip(*pieces, strict=True)))
+            c = c.astype(np.uint32)
+            cuts = {seg: (a, b) for seg, a, b in cut(h, segments)}
+            for seg in range(segments) if kind == WORD else cuts:  # words also to those that have none: they tell N and V
+                a, b = cuts.get(seg, (0, 0))
+                for name, value in zip(out, (seg, key[0].as_py(), kind, raw(h[a:b]), raw(c[a:b])), strict=True):
+                    out[name].append(value)
         return _table(out, ASK)
 
     def answer(key, table):
-        hs = [np.frombuffer(x, U64) for x in table["h"].to_pylist()]
-        h = np.concatenate(hs)
-        c = np.concatenate([np.frombuffer(x, np.uint32) for x in table["c"].to_pylist()]).astype(np.int64)
-        own, count = _summed(h, c)
-        out: dict[str, list] = {"chunk": table["chunk"].to_pylist(), "seg": [key[0].as_py()] * len(hs), "c": [], "total": [int(count.sum())] * len(hs), "different": [int((count > 0).sum())] * len(hs)}
-        for x in hs:
-            out["c"].append(raw(count[np.searchsorted(own, x)]))
+        rows = table.to_pylist()
+        known = {}
+        for kind in (WORD, GRAM):
+            own = [x for x in rows if x["kind"] == kind]
+            h = np.concatenate([np.frombuffer(x["h"], U64) for x in own] or [np.empty(0, U64)])
+            c = np.concatenate([np.frombuffer(x["c"], np.uint32) for x in own] or [np.empty(0, np.uint32)]).astype(np.int64)
+            known[kind] = _summed(h, c)
+        names = {kind: mix(h) if kind == WORD else h for kind, (h, _) in known.items()}
+        bloom = LogBloom(np.concatenate(list(names.values())), np.concatenate([c for _, c in known.values()]), filter_bytes // 8 // segments, bits_an_entry)
+        level = {kind: bloom.levels(h) for kind, h in names.items()}
+        total, different = int(known[WORD][1].sum()), int((known[WORD][1] > 0).sum())
+        out: dict[str, list] = {x.split()[0]: [] for x in ANSWER.split(", ")}
+        for x in rows:
+            kind = x["kind"]
+            at = np.searchsorted(known[kind][0], np.frombuffer(x["h"], U64))
+            exact = raw(known[kind][1][at]) if kind == WORD else None
+            for name, value in zip(out, (x["chunk"], key[0].as_py(), kind, raw(level[kind][at]), exact, total, different), strict=True):
+                out[name].append(value)
         return _table(out, ANSWER)
 
     def score(key, table, back):
-        bloom = LogBloom(*model.value)
-        rows = sorted(back.to_pylist(), key=lambda x: x["seg"])
-        total, different = sum(x["total"] for x in rows), sum(x["different"] for x in rows)
-        count = np.concatenate([np.frombuffer(x["c"], np.int64) for x in rows])
+        rows = sorted(back.to_pylist(), key=lambda x: (x["kind"], x["seg"]))
+        known_words, known_grams = ([x for x in rows if x["kind"] == kind] for kind in (WORD, GRAM))
+        total, different = sum(x["total"] for x in known_words), sum(x["different"] for x in known_words)
+        count = np.concatenate([np.frombuffer(x["c"], np.int64) for x in known_words])
+        rough, rough_gram = (estimate(np.concatenate([np.frombuffer(x["level"], np.uint8) for x in own] or [np.empty(0, np.uint8)])) for own in (known_words, known_grams))
         pieces = parts(table)
         toks = [tokens(x["text"]) for x in pieces]
         h = _counted(np.concatenate([_counted(t)[0] for t, _ in toks]))[0]
-        rough = bloom.counts(mix(h))
+        every = [_counted(gram)[0] for t, place in toks for n, (gram, _) in enumerate(grams(t, place, order), 1) if n > 1]
+        gram_h = _counted(np.concatenate([starts, *every]))[0]
+        before = rough_gram[np.searchsorted(gram_h, starts)]  # the counts of the contexts at the start of a text
         unit = np.log10(total + different + 1)
         out: list[pa.Table] = []
         for part, (tok, place) in zip(pieces, toks, strict=True):
@@ -237,13 +214,13 @@ def _jobs(model, order: int, smoothing: float, segments: int):
             next(found)
             known = np.empty_like(rough[at])
             known[1:] = rough[at][:-1]  # the count of the context
-            known[place[:-1]] = bloom.counts(mix(np.array([START])))[0]
+            known[place[:-1]] = before[0] if order > 1 else 0
             for m, (gram, _) in enumerate(found, 2):
-                here = np.minimum(bloom.counts(gram), known)
+                here = np.minimum(rough_gram[np.searchsorted(gram_h, gram)], known)
                 p = (here + smoothing * p) / (known + smoothing)
                 known = np.empty_like(here)
                 known[1:] = here[:-1]
-                known[place[:-1]] = bloom.counts(mix(mix(np.array([START])) + U64(m)))[0]
+                known[place[:-1]] = before[m - 1] if m < order else 0
             out.append(pa.table({
                 "doc_id": part["doc_id"], "held_out": part["held_out"], "n_tokens": pa.array(n, pa.int64()),
                 "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64), place[:-1]), pa.int64()),
@@ -255,14 +232,11 @@ def _jobs(model, order: int, smoothing: float, segments: int):
     return ask, answer, score
 
 
-def lm_scores(docs: DataFrame, order: int = 2, filter_bytes: int = 32 << 20, smoothing: float = 256.0, chunk_bytes: int = 4 << 20) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs (doc_id, text)."""
-    spark = docs.sparkSession
+def lm_scores(docs: DataFrame, order: int = 2, filter_bytes: int = 32 << 20, smoothing: float = 256.0, chunk_bytes: int = 4 << 20, bits_an_entry: float = 10.0) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs (doc_id, text); filter_bytes is the filter's least size."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    bloom = train(docs.filter(~held_out()), order, filter_bytes)
-    model = spark.sparkContext.broadcast((bloom.bits, bloom.segments))
     texts, n = chunked(docs, chunk_bytes, held_out().alias("held_out"))
-    ask, answer, score = _jobs(model, order, smoothing, n)
+    ask, answer, score = _jobs(order, smoothing, n, filter_bytes, bits_an_entry)
     by_chunk = texts.groupBy("chunk")
     counts = by_chunk.applyInArrow(ask, ASK).groupBy("seg").applyInArrow(answer, ANSWER)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

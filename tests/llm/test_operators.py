@@ -222,6 +222,13 @@ def test_lm_scores(docs, spark):
     assert all(r.score <= 0 for r in got) and sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_lm_takes_in_all_ngrams(docs):
+    """A filter that starts far too small for the corpus gives the scores of a large one, but for false positives."""
+    large = {r.doc_id: r for r in lm_scores(docs, filter_bytes=1 << 24, chunk_bytes=20000).collect()}
+    small = {r.doc_id: r for r in lm_scores(docs, filter_bytes=1 << 11, chunk_bytes=20000).collect()}
+    assert all(abs(small[i].score - r.score) <= 0.02 * abs(r.score) for i, r in large.items())
+
+
 def test_bpe(docs):
     import public_tokenizers as P
     import tiktoken
