@@ -19,8 +19,11 @@ aggregate like any other.
 
 Groups of fewer than ``least`` vectors are taken together by language, and if
 still too small all together; if even these are too few, nothing is rejected
-among them.  Each statistic has a least deviation (``floor``), so that where
-most texts have no symbol or no repeated line, one such text is no outlier.
+among them.  ``cutoff`` is the 0.999 quantile of chi-squared, which normal data
+exceed once in a thousand.  Each statistic's variance has its resolution added:
+the mean square of the step that one symbol, one line or one word makes in the
+group's texts (for the word length, the sampling error of a mean), so that
+where most texts have no symbol or no repeated line, one of them is no outlier.
 
 Defined cases: a missing text has no words and fails; a missing language or
 source is a value of its own; texts that repeat are judged alike; an empty
@@ -37,8 +40,10 @@ from pyspark.sql import functions as F
 from .common import WORD_JAVA, written
 
 UNIT = 1024
-#: Quantiles of chi-squared with 4 degrees of freedom at 0.75 and 0.975.
-CHI_75, CHI_975 = 5.385, 11.143
+#: Quantiles of chi-squared with 4 degrees of freedom at 0.75, 0.975 and 0.999.
+CHI_75, CHI_975, CHI_999 = 5.385, 11.143, 18.467
+#: What the scatter of normal data within CHI_975 is short of: 0.975 / P(chi-squared with 6 degrees <= CHI_975).
+CONSISTENT = 0.975 / 0.91594
 DIMENSIONS = 4
 
 
@@ -71,6 +76,12 @@ def vector() -> list[Column]:
     return [F.round(v * UNIT).cast("long").alias(f"z{i}") for i, v in enumerate(values)]
 
 
+def resolution() -> list[Column]:
+    """Each statistic's squared resolution in a text, in units of 1 / UNIT squared."""
+    counts = (4 * F.col("n_words"), F.col("word_chars"), F.col("n_lines"), F.col("n_words"))
+    return [F.round(F.lit(UNIT**2) / F.greatest(n, F.lit(1))).cast("long").alias(f"r{i}") for i, n in enumerate(counts)]
+
+
 def _grouped(rows: DataFrame, least: int) -> DataFrame:
     """The group of each row: language and source, or a wider one where that is small."""
     none = F.lit(None).cast("string")
@@ -81,13 +92,13 @@ def _grouped(rows: DataFrame, least: int) -> DataFrame:
     return rows
 
 
-def _estimate(rows: DataFrame, floor: float) -> DataFrame:
-    """For each key centre m0.. and the lower triangle l00.. of the root of its scatter, from rows (key, z0..)."""
+def _estimate(rows: DataFrame, scale: float = 1.0) -> DataFrame:
+    """For each key centre m0.. and the lower triangle l00.. of the root of its scatter, from rows (key, z0.., r0..)."""
     d = range(DIMENSIONS)
     sums = [F.sum(f"z{i}").alias(f"s{i}") for i in d] + [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"s{i}{j}") for i in d for j in range(i + 1)]
-    out = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *sums)
-    n, least = F.col("n").cast("double"), (floor * UNIT) ** 2
-    cov = {(i, j): (F.col(f"s{i}{j}") / n - (F.col(f"s{i}") / n) * (F.col(f"s{j}") / n) + (F.lit(least) if i == j else F.lit(0.0))) for i in d for j in range(i + 1)}
+    out = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *sums, *[F.sum(f"r{i}").alias(f"r{i}") for i in d])
+    n = F.col("n").cast("double")
+    cov = {(i, j): (scale * (F.col(f"s{i}{j}") / n - (F.col(f"s{i}") / n) * (F.col(f"s{j}") / n)) + (F.col(f"r{i}") / n if i == j else F.lit(0.0))) for i in d for j in range(i + 1)}
     out = out.select("key", *[(F.col(f"s{i}") / n).alias(f"m{i}") for i in d], *[c.alias(f"c{i}{j}") for (i, j), c in cov.items()])
     return _root(out)
 
@@ -118,15 +129,14 @@ def _bin() -> Column:
     return F.floor(F.log2(1 + F.least(F.col("d2"), F.lit(1e12))) * 64).cast("long")
 
 
-def minimum_covariance(rows: DataFrame, floor: float, share: float = 0.75, steps: int = 3, small: int = 20000) -> DataFrame:
-    """The estimate for each key of rows (key, z0..)."""
+def minimum_covariance(rows: DataFrame, share: float = 0.75, steps: int = 3, small: int = 20000) -> DataFrame:
+    """The estimate for each key of rows (key, z0.., r0..)."""
     d = range(DIMENSIONS)
     middle = rows.groupBy("key").agg(*[F.percentile(f"z{i}", F.lit(0.5)).alias(f"m{i}") for i in d])
     bounded = middle.limit(small + 1).count() <= small
     hold = F.broadcast if bounded else (lambda x: x)
-    away = rows.join(hold(middle), "key").groupBy("key").agg(*[F.first(f"m{i}").alias(f"m{i}") for i in d], *[F.percentile(F.abs(F.col(f"z{i}") - F.col(f"m{i}")), F.lit(0.5)).alias(f"a{i}") for i in d])
-    least = (floor * UNIT) ** 2
-    start = away.select("key", *[f"m{i}" for i in d], *[((1.4826 * F.col(f"a{i}")) ** 2 + least if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in d for j in range(i + 1)])
+    away = rows.join(hold(middle), "key").groupBy("key").agg(*[F.first(f"m{i}").alias(f"m{i}") for i in d], *[F.percentile(F.abs(F.col(f"z{i}") - F.col(f"m{i}")), F.lit(0.5)).alias(f"a{i}") for i in d], *[(F.sum(f"r{i}") / F.count(F.lit(1))).alias(f"r{i}") for i in d])
+    start = away.select("key", *[f"m{i}" for i in d], *[((1.4826 * F.col(f"a{i}")) ** 2 + F.col(f"r{i}") if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in d for j in range(i + 1)])
     estimate = written(_root(start), "estimate")
     for step in range(steps + 1):
         near = _distances(rows, hold(estimate)).withColumn("bin", _bin())
@@ -136,17 +146,17 @@ def minimum_covariance(rows: DataFrame, floor: float, share: float = 0.75, steps
             near = near.filter("bin <= cut")
         else:  # scaled to be right for normal data, what then is near counts
             near = near.filter(F.col("d2") <= CHI_975 * F.greatest(F.lit(1.0), (F.pow(F.lit(2.0), (F.col("cut") + 1) / 64) - 1) / CHI_75))
-        estimate = written(_estimate(near, floor), "estimate")
+        estimate = written(_estimate(near, 1.0 if step < steps else CONSISTENT), "estimate")
     return hold(estimate)
 
 
-def quality_verdicts(docs: DataFrame, cutoff: float = 100.0, floor: float = 0.06, least: int = 40, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+def quality_verdicts(docs: DataFrame, cutoff: float = CHI_999, least: int = 40, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """doc_id, the base statistics, base_failed, kept, distance for each row of docs (doc_id, text, lang, source)."""
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    rows = written(base_statistics(docs).select("*", failed.alias("base_failed"), *vector()), "statistics")
+    rows = written(base_statistics(docs).select("*", failed.alias("base_failed"), *vector(), *resolution()), "statistics")
     judged = written(_grouped(rows.filter("NOT base_failed"), least), "judged")
     enough = judged.groupBy("key").count().filter(F.col("count") >= least).select("key")
-    estimate = minimum_covariance(judged.join(enough, "key", "left_semi").select("key", *[f"z{i}" for i in range(DIMENSIONS)]), floor)
+    estimate = minimum_covariance(judged.join(enough, "key", "left_semi").select("key", *[f"{x}{i}" for x in "zr" for i in range(DIMENSIONS)]))
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     near = _distances(judged, estimate)
     alone = judged.join(enough, "key", "left_anti").withColumn("d2", F.lit(None).cast("double"))
