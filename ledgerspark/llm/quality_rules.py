@@ -18,7 +18,8 @@ steps run over them.  A language and source of a third of all rows costs an
 aggregate like any other.
 
 Groups of fewer than ``least`` vectors are taken together by language, and if
-still too small all together; if even these are too few, nothing is rejected
+still too small all together; if even these are too few, they are judged by the
+estimate over all vectors.  Only in a table of fewer vectors nothing is rejected
 among them.  ``cutoff`` is the 0.999 quantile of chi-squared, which normal data
 exceed once in a thousand.  Each statistic's variance has its resolution added:
 the mean square of the step that one symbol, one line or one word makes in the
@@ -156,9 +157,15 @@ def quality_verdicts(docs: DataFrame, cutoff: float = CHI_999, least: int = 40,
     rows = written(base_statistics(docs).select("*", failed.alias("base_failed"), *vector(), *resolution()), "statistics")
     judged = written(_grouped(rows.filter("NOT base_failed"), least), "judged")
     enough = judged.groupBy("key").count().filter(F.col("count") >= least).select("key")
-    estimate = minimum_covariance(judged.join(enough, "key", "left_semi").select("key", *[f"{x}{i}" for x in "zr" for i in range(DIMENSIONS)]))
+    values = [f"{x}{i}" for x in "zr" for i in range(DIMENSIONS)]
+    fit, alone = judged.join(enough, "key", "left_semi").select("key", *values), judged.join(enough, "key", "left_anti")
+    if judged.limit(least).count() >= least and alone.limit(1).count():  # the last pool is judged by all vectors
+        none = F.lit(None).cast("string")
+        fit = fit.unionByName(judged.select(F.struct(none.alias("lang"), none.alias("source")).alias("key"), *values))
+        alone = alone.filter("false")
+    estimate = minimum_covariance(fit)
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     near = _distances(judged, estimate)
-    alone = judged.join(enough, "key", "left_anti").withColumn("d2", F.lit(None).cast("double"))
+    alone = alone.withColumn("d2", F.lit(None).cast("double"))
     out = near.unionByName(alone).select(*base, F.coalesce(F.col("d2") <= cutoff, F.lit(True)).alias("kept"), F.col("d2").alias("distance"))
     return out.unionByName(rows.filter("base_failed").select(*base, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance")))
