@@ -88,8 +88,12 @@ def _common(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
     return np.minimum(first, most)
 
 
-def _order(rows: np.ndarray) -> np.ndarray:
-    return np.argsort(np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel(), kind="stable") if rows.shape[1] else np.arange(len(rows))
+def _order(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The order of rows padded with zero bytes; of equal ones the shorter comes first, as zero bytes may be real."""
+    by_size = np.argsort(size, kind="stable")
+    if not rows.shape[1]:
+        return by_size
+    return by_size[np.argsort(np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel()[by_size], kind="stable")]
 
 
 def intervals(lcp: list[int]):
@@ -121,7 +125,7 @@ def maximal_repeats(h: np.ndarray, before: np.ndarray, size: np.ndarray, twice:
         b = np.frombuffer(body, np.uint8)
         right[i, 8 : 8 + after[i]] = b[before[i] :]
         left[i, : before[i]] = b[: before[i]][::-1]
-    order = _order(right)
+    order = _order(right, after)
     right, left, before, after = right[order], left[order], before[order], after[order]
     lcp = np.zeros(n, np.int64)
     if n > 1:
@@ -136,7 +140,7 @@ def maximal_repeats(h: np.ndarray, before: np.ndarray, size: np.ndarray, twice:
         if prefix + int(before[i : j + 1].max()) < length:
             continue
         part, own = left[i : j + 1], before[i : j + 1]
-        by_left = _order(part)
+        by_left = _order(part, own)
         near = _common(part[by_left[1:]], part[by_left[:-1]], np.minimum(own[by_left[1:]], own[by_left[:-1]]))
         best = np.zeros(len(part), np.int64)
         best[by_left[1:]] = near

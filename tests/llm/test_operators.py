@@ -21,7 +21,7 @@ from ledgerspark.llm.media import MediaArchive, media_features
 from ledgerspark.llm.packing import best_fit, best_fit_packing
 from ledgerspark.llm.quality_rules import quality_verdicts
 from ledgerspark.llm.substring_dedup import substring_dedup
-from ledgerspark.llm.suffix_dedup import suffix_dedup
+from ledgerspark.llm.suffix_dedup import maximal_repeats, suffix_dedup
 
 SCHEMA = "doc_id long, text string, lang string, source string, chunk int, seg string, key string, rest string, n long"
 
@@ -116,6 +116,15 @@ def test_suffix_dedup_of_one_long_run(spark):
     assert [r[1:4] for r in rows(suffix_dedup(d))] == [(1000, 1000, 1), (199, 0, 0), (200, 0, 0)]
 
 
+def test_repeats_that_end_in_zero_bytes():
+    import numpy as np
+
+    for bodies, before in (([b"a" * 199 + b"\0", b"a" * 199, b"a" * 199 + b"\0"], 0), ([b"\0" + b"a" * 199, b"a" * 199, b"\0" + b"a" * 199], 100)):
+        size = np.array([len(x) for x in bodies])
+        entry, a, b = maximal_repeats(np.ones(3, np.uint64), np.minimum(before, size - 100) if before else np.zeros(3, np.int64), size, np.zeros(3, bool), bodies, 200)
+        assert {(int(i), int(x), int(y)) for i, x, y in zip(entry, a, b, strict=True)} == {(0, 0, 200), (2, 0, 200)}
+
+
 def brute_groups(data):
     sets = []
     for i, t in data:
