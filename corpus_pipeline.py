@@ -2,7 +2,8 @@
 
 Each stage takes what its predecessor kept, whole texts and all columns of
 documents; the last one returns where each piece of a document is packed.
-Documents are told apart by doc_id, which should be unique and not null.
+Rows are told apart by a key that is made when a stage writes its input, so
+missing and repeated doc_ids are documents like any other.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.common import written
 from ledgerspark.llm.jaccard_join import similar_groups
 from ledgerspark.llm.language_id import UNKNOWN, language_id
 from ledgerspark.llm.packing import best_fit_packing
@@ -20,22 +22,38 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SCORE = 0.5
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """docs, written with a key for each row."""
+    return written(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+
+
+def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """rows but for those whose key is in rejected, without the key."""
+    return rows.join(rejected.select("row"), "row", "left_anti").drop("row")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the outlier test reject go."""
-    rejected = quality_verdicts(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    rows = _rows(docs)
+    rejected = quality_verdicts(rows.withColumn("doc_id", F.col("row"))).filter("NOT kept").select(F.col("doc_id").alias("row"))
+    return _without(rows, rejected).select(*docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no known language, or of a doubtful one, go."""
-    rejected = language_id(docs).filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE)).select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    rows = _rows(docs)
+    return _without(rows, language_id(rows, row="row").filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least doc_id stays."""
-    others = similar_groups(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates one document with the least doc_id stays; a missing one is greater than all."""
+    rows = _rows(docs)
+    groups = similar_groups(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    groups = written(groups, "groups")
+    large = groups.groupBy("group").count().filter("count > 1").select("group")
+    members = groups.join(large, "group").join(rows.select("row", "doc_id"), "row")
+    first = members.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"].alias("first"))
+    return _without(rows, members.join(first, "group").filter("row <> first")).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +77,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what a stage keeps is written and read again."""
-    from ledgerspark.llm.common import written
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))

@@ -182,16 +182,18 @@ def _predict(model, bits: int):
                 p = softmax((weights[:, at] @ weighted(c[at], idf[at]) + weights[:, -1]) / t)
                 found.append(labels[int(p.argmax())])
                 score.append(float(min(1.0, p.max())))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(score, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(score, pa.float64()), *batch.columns[3:]], ["doc_id", "held_out", "lang_pred", "score", *batch.schema.names[3:]])
 
     return job
 
 
-def language_id(docs: DataFrame, bits: int = 14, max_train: int = 4000) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for each row of docs (doc_id, text, lang)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+def language_id(docs: DataFrame, bits: int = 14, max_train: int = 4000, row: str | None = None) -> DataFrame:
+    """doc_id, held_out, lang_pred, score for each row of docs (doc_id, text, lang), and its key, a long column, if row names one."""
+    more = [F.col(row).cast("long").alias(row)] if row else []
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), *more)
     model = docs.sparkSession.sparkContext.broadcast(train(docs.filter(~held_out()), bits, max_train))
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(_predict(model, bits), RESULT)
+    out = docs.select("doc_id", held_out().alias("held_out"), "text", *([row] if row else []))
+    return out.mapInArrow(_predict(model, bits), f"{RESULT}, {row} long" if row else RESULT)
 
 
 __all__ = ["UNKNOWN", "held_out", "language_id", "runs"]

@@ -405,3 +405,26 @@ def test_pipeline(docs, spark):
         out = stage(spark, out, "")
         assert out.columns == before
     assert 0 < out.count() < 60 and C.packed(spark, out, "").count() >= out.count()
+
+
+def test_pipeline_tells_rows_apart(spark, tmp_path):
+    """Each verdict falls on its own row: with null and repeated ids as with ids of their own."""
+    import corpus_pipeline as C
+
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(3, 8)))
+    clean = [" ".join(word() for _ in range(80)) for _ in range(60)]
+    data = [(i, t) for i, t in enumerate(clean)] + [(None, "short"), (0, "short too"), (None, clean[1]), (2, clean[2]), (2, clean[2]), (None, "only here " + clean[3])]
+    data += [(None, t) for t in [" ".join(word() for _ in range(80))] * 3]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    (tmp_path / "in").mkdir()
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data], schema).coalesce(2).write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "in" / "documents.parquet"))
+    long = [x for x in data if len(x[1].split()) >= 50]
+    assert rows(C.quality(spark, docs, "").select("doc_id", "text")) == sorted(long, key=repr)
+    want = [(i, t) for i, t in enumerate(clean)] + [(None, data[-1][1])]
+    assert rows(C.near_duplicates(spark, docs.filter("length(text) > 20"), "").select("doc_id", "text")) == sorted(want, key=repr)
+    words = Counter()
+    for x in C.run(spark, str(tmp_path / "in")).collect():
+        words[x.doc_id] += x.n_tokens
+    assert words == Counter({i: 80 for i in range(60)} | {None: 80})
