@@ -91,12 +91,18 @@ def same_words() -> Column:
     return F.xxhash64(F.array_join(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(f"({WORD_JAVA})")), " "))
 
 
-def best_fit_packing(docs: DataFrame, capacity: int = 2048, mix_sources: bool = True, cluster: Column | None = None, shard_rows: int = 4096) -> DataFrame:
-    """doc_id, piece, start, n_tokens, bin_id, bin_offset: where each piece of each row of docs (doc_id, text, source) goes."""
+def word_count() -> Column:
+    return F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({WORD_JAVA})"))).cast("long")
+
+
+def best_fit_packing(docs: DataFrame, capacity: int = 2048, mix_sources: bool = True, cluster: Column | None = None, shard_rows: int = 4096, n_words: Column | None = None) -> DataFrame:
+    """doc_id, piece, start, n_tokens, bin_id, bin_offset: where each piece of each row of docs (doc_id, text, source) goes.
+
+    With cluster and n_words, the texts' numbers of words, docs needs no text.
+    """
     if not 0 < capacity or not 0 < shard_rows < 1 << 24:
         raise ValueError("capacity and 0 < shard_rows < 2**24 are needed")
-    text = F.coalesce("text", F.lit(""))
-    words = F.size(F.regexp_extract_all(text, F.lit(f"({WORD_JAVA})"))).cast("long")
+    words = word_count() if n_words is None else n_words
     sized = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), (same_words() if cluster is None else cluster).cast("long").alias("cluster"), words.alias("n")), "sized")
     pieces = sized.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.ceil(F.col("n") / capacity) - 1))).alias("piece"))
     pieces = pieces.withColumn("start", F.col("piece") * capacity).withColumn("n_tokens", F.least(F.lit(capacity), F.col("n") - F.col("start")))

@@ -428,3 +428,11 @@ def test_pipeline_tells_rows_apart(spark, tmp_path):
     for x in C.run(spark, str(tmp_path / "in")).collect():
         words[x.doc_id] += x.n_tokens
     assert words == Counter({i: 80 for i in range(60)} | {None: 80})
+
+
+def test_packing_query_parts_near_copies(spark, tmp_path):
+    base = [f"w{i}" for i in range(100)]
+    data = [(i, " ".join([*base[:90], f"x{i}", *base[91:]]), f"s{i}") for i in range(6)] + [(i, f"other {i}", f"s{i}") for i in range(6, 12)]
+    spark.createDataFrame(data, "doc_id long, text string, source string").coalesce(2).write.parquet(str(tmp_path / "documents.parquet"))
+    got = LQ.op3_best_fit_packing(spark, str(tmp_path)).collect()
+    assert len(got) == 12 and len({r.bin_id for r in got if r.doc_id < 6}) == 6 and len({r.bin_id for r in got}) == 6
