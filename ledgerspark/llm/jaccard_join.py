@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from .common import NO_ID, U64, buffers, ids_of, lowered, mix, raw, rolling, runs, word_hashes, words, written
 from .components import components, local_components
-from .substring_dedup import _table
+from .repeats import table_of as _table
 
 KEYS = "seg int, chunk long, keys binary, ids binary, reps binary, sizes binary"
 SHARED = "chunk long, keys binary, often binary, ids binary, reps binary, sizes binary"

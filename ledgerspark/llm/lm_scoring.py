@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, buffers, chunked, cut, lowered, mix, raw, runs, word_hashes, words
-from .substring_dedup import _table
+from .repeats import table_of as _table
 
 END, START = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 LEVELS = 48

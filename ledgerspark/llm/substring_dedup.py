@@ -2,16 +2,19 @@
 
 Seeds are winnowed word n-grams, so that every window of ``window`` consecutive
 words holds a seed whose place depends on the window alone.  Documents are
-joined on seeds; around each seed that more than one document has, the match is
-extended to both sides, one window at a time, as far as the seed stays the
-window's own; windows that meet form the maximal repeat.  A word goes if a
-window over it also starts in a document with a smaller id.
-
-How it is spread: texts are dealt once into chunks of bounded size.  Each chunk
-sends every different seed once (with the least and greatest document id that
-has it) to the seed's segment, and later every different window once; copies
-inside a chunk are thus combined before any shuffle, and a passage that a third
-of all documents share costs a segment one entry a chunk.  Nothing is collected.
+joined on seeds: the words around each seed that more than one document has
+(those of the windows it stands for) meet at the seed's segment.  There the
+match is extended word by word: to the right by the common start of what begins
+with the seed, to the left by the common start of what stands before it, read
+backwards.  Both are found between neighbours in sorted order, never for all
+pairs.  Matches of ``window`` words and more that can't be extended on either
+side without losing a document are kept (``repeats.groups``), with the least
+document id of each; a word goes if a kept match over it also occurs in a
+document with a smaller id.
+
+How it is spread, and what becomes of a passage in very many documents, is told
+in ``repeats``.  Copies inside a chunk are combined before any shuffle.  Nothing
+is collected.
 
 Defined cases: a missing text has no words; a missing doc_id precedes nothing
 and counts as the largest id, so equal texts without id keep each other; rows
@@ -31,145 +34,55 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, U64, anchors, buffers, canonical, chunked, cut, ids_of, raw, rolling, runs, word_hashes, words
-
-
-def _planes(a: np.ndarray) -> bytes:
-    """Int64 values by byte position: leading zeros then compress away."""
-    return raw(a.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
-
-
-def _unplaned(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
-
-
-def _least(h: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each different h, sorted: the least of low and the greatest of high."""
-    if not len(h):
-        return h, low, high
-    order = np.argsort(h)
-    h = h[order]
-    at = runs(h)[:-1]
-    return h[at], np.minimum.reduceat(low[order], at), np.maximum.reduceat(high[order], at)
-
-
-def _sent(h: np.ndarray, low: np.ndarray, high: np.ndarray, chunk: int, segments: int) -> dict[str, list]:
-    out: dict[str, list] = {"seg": [], "chunk": [], "h": [], "low": [], "more": []}
-    for seg, a, b in cut(h, segments):
-        for name, value in zip(out, (seg, chunk, raw(h[a:b]), _planes(low[a:b]), _planes(high[a:b] - low[a:b])), strict=True):
-            out[name].append(value)
-    return out
-
-
-SENT = "seg int, chunk int, h binary, low binary, more binary"
-BACK = "chunk int, h binary, low binary"
-
-
-def _table(columns: dict[str, list], schema: str) -> pa.Table:
-    types = {"int": pa.int32(), "binary": pa.binary(), "long": pa.int64(), "string": pa.string()}
-    fields = [x.split() for x in schema.split(", ")]
-    return pa.table({name: pa.array(columns[name], types[kind]) for name, kind in fields})
-
-
-def _received(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    h = [np.frombuffer(x, U64) for x in table["h"].to_pylist()]
-    low = [_unplaned(x) for x in table["low"].to_pylist()]
-    high = [a + _unplaned(x) for a, x in zip(low, table["more"].to_pylist(), strict=True)]
-    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (h, low, high)) + (np.array([len(x) for x in h]),)
-
-
-def _answered(table: pa.Table) -> pa.Table:
-    """To each chunk those of its hashes that a smaller document has too, with the smallest of these."""
-    h, low, high, sizes = _received(table)
-    order = np.argsort(h)
-    r = runs(h[order])
-    least = np.empty_like(low)
-    if len(h):
-        least[order] = np.repeat(np.minimum.reduceat(low[order], r[:-1]), np.diff(r))
-        most = np.empty_like(high)
-        most[order] = np.repeat(np.maximum.reduceat(high[order], r[:-1]), np.diff(r))
-    out: dict[str, list] = {"chunk": [], "h": [], "low": []}
-    ends = np.cumsum(sizes)
-    for chunk, a, b in zip(table["chunk"].to_pylist(), ends - sizes, ends, strict=True):
-        hit = np.flatnonzero(least[a:b] < most[a:b]) + a
-        if len(hit):
-            out["chunk"].append(chunk)
-            out["h"].append(raw(h[hit]))
-            out["low"].append(_planes(least[hit]))
-    return _table(out, BACK)
-
-
-def _known(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    h = np.concatenate([np.frombuffer(x, U64) for x in table["h"].to_pylist()] or [np.empty(0, U64)])
-    low = np.concatenate([_unplaned(x) for x in table["low"].to_pylist()] or [np.empty(0, np.int64)])
-    order = np.argsort(h)
-    return h[order], low[order]
-
-
-def _lookup(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of x are in the sorted keys, and where."""
-    if not len(keys):
-        return np.zeros(len(x), bool), np.zeros(len(x), np.int64)
-    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-    return keys[at] == x, at
+from .common import U64, anchors, buffers, canonical, chunked, ids_of, rolling, runs, word_hashes, words
+from .repeats import AROUND, COVER, SEEN, SHARED, Occurrences, covered, jobs
 
 
 class _Words:
-    """The words of a chunk's texts, their hashes, and the windows that lie in one text."""
+    """The words of a chunk's texts, and the seeds that they hold."""
 
-    def __init__(self, table: pa.Table, window: int):
+    def __init__(self, chunk: int, table: pa.Table, window: int, gram: int):
         self.data, self.off = buffers(table["text"])
         self.s, self.e, self.first = words(self.data, self.off)
-        self.h = word_hashes(self.data, self.s, self.e)
-        self.row = np.repeat(np.arange(table.num_rows), np.diff(self.first))
-        n = max(0, len(self.h) - window + 1)
-        self.whole = self.row[:n] == self.row[window - 1 :] if n else np.zeros(0, bool)
+        h = word_hashes(self.data, self.s, self.e)
+        row = np.repeat(np.arange(table.num_rows), np.diff(self.first))
+        n = max(0, len(h) - window + 1)
+        g = rolling(h, gram)
+        starts, at = anchors(g, row[:n] == row[window - 1 :] if n else np.zeros(0, bool), window - gram + 1)
+        r = runs(at) if len(at) else np.zeros(1, np.int64)
+        at, low, high = (at[r[:-1]], starts[r[:-1]], starts[r[1:] - 1] + window) if len(at) else (at, at, at)
+        self.seeds = Occurrences(h, at, low, high, g[at] if len(at) else np.empty(0, U64), ids_of(table)[row[at]], chunk)
 
 
-def _jobs(window: int, gram: int, segments: int, with_text: bool):
-    def seeds(key, table):
-        table = canonical(table)
-        w, ids = _Words(table, window), ids_of(table)
-        _, at = anchors(rolling(w.h, gram), w.whole, window - gram + 1)
-        at = at[runs(at)[:-1]] if len(at) else at
-        doc = ids[w.row[at]]
-        return _table(_sent(*_least(rolling(w.h, gram)[at] if len(at) else np.empty(0, U64), doc, doc), key[0].as_py(), segments), SENT)
+def substring_dedup(docs: DataFrame, window: int = 50, gram: int = 20, chunk_bytes: int = 4 << 20, with_text: bool = False, heavy: int = 512) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 for each row of docs (doc_id, text).
 
-    def windows(key, table, back):
-        table = canonical(table)
-        w, ids = _Words(table, window), ids_of(table)
-        known, _ = _known(back)
-        g = rolling(w.h, gram)
-        starts, at = anchors(g, w.whole, window - gram + 1)
-        if len(known) and len(starts):
-            hit, _ = _lookup(known, g[at])
-            starts = starts[hit]
-        else:
-            starts = starts[:0]
-        doc = ids[w.row[starts]]
-        h = rolling(w.h, window)[starts] if len(starts) else np.empty(0, U64)
-        return _table(_sent(*_least(h, doc, doc), key[0].as_py(), segments), SENT)
+    with_text adds kept_text (the text without the removed words; null stays
+    null) and rest (a struct of the other columns).
+    """
+    if not 0 < gram <= window < 1 << 14:
+        raise ValueError("0 < gram <= window < 16384 is needed")
+    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(1).alias("none")]).alias("rest")] if with_text else []
+    texts, n = chunked(docs, chunk_bytes, *rest)
+    seen, shared, around, cover = jobs(lambda chunk, table: _Words(chunk, canonical(table), window, gram).seeds, window, n, heavy, U64, True)
 
     def result(key, table, back):
         table = canonical(table)
-        w, ids = _Words(table, window), ids_of(table)
-        known, least = _known(back)
-        gone = np.zeros(len(w.h) + 1, np.int32)
-        if len(known) and len(w.whole):
-            starts = np.flatnonzero(w.whole)
-            hit, at = _lookup(known, rolling(w.h, window)[starts])
-            starts, at = starts[hit], at[hit]
-            starts = starts[ids[w.row[starts]] > least[at]]
-            np.add.at(gone, starts, 1)
-            np.add.at(gone, starts + window, -1)
+        w = _Words(key[0].as_py(), table, window, gram)
+        gone = np.zeros(len(w.seeds.sym) + 1, np.int32)
+        if back.num_rows:
+            whose, a, b, least = covered(w.seeds, back, window)
+            later = w.seeds.place[whose] > least
+            np.add.at(gone, a[later], 1)
+            np.add.at(gone, b[later], -1)
         gone = np.cumsum(gone[:-1]) > 0
         removed = np.concatenate(([0], np.cumsum(gone)))
         removed = removed[w.first[1:]] - removed[w.first[:-1]]
-        digests, texts = [], []
-        for i, n in enumerate(removed):
+        digests, kept_texts = [], []
+        for i, lost in enumerate(removed):
             body = w.data[w.off[i] : w.off[i + 1]].tobytes()
             kept = body.split()
-            if n:
+            if lost:
                 cover = gone[w.first[i] : w.first[i + 1]]
                 kept = list(compress(kept, ~cover))
                 if with_text:  # a removed run goes with the white space behind it
@@ -177,34 +90,17 @@ def _jobs(window: int, gram: int, segments: int, with_text: bool):
                     body = body[: s[0]] + b"".join(body[s[j] : s[j + 1]] for j in np.flatnonzero(~cover))
             digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             if with_text:
-                texts.append(body)
+                kept_texts.append(body if table["text"][i].is_valid else None)
         out = {"doc_id": table["doc_id"], "n_words": pa.array(np.diff(w.first), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string())}
         if with_text:
-            out |= {"kept_text": pa.array(texts, pa.binary()), "rest": table["rest"]}
+            out |= {"kept_text": pa.array(kept_texts, pa.binary()), "rest": table["rest"]}
         return pa.table(out)
 
-    return seeds, windows, result
-
-
-def substring_dedup(docs: DataFrame, window: int = 50, gram: int = 20, chunk_bytes: int = 4 << 20, with_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 for each row of docs (doc_id, text).
-
-    with_text adds kept_text (the text without the removed words; null stays
-    null) and rest (a struct of the other columns).
-    """
-    if not 0 < gram <= window:
-        raise ValueError("0 < gram <= window is needed")
-    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(1).alias("none")]).alias("rest")] if with_text else []
-    texts, n = chunked(docs, chunk_bytes, *rest)
-    seeds, windows, result = _jobs(window, gram, n, with_text)
     by_chunk = texts.groupBy("chunk")
-    shared = by_chunk.applyInArrow(seeds, SENT).groupBy("seg").applyInArrow(_answered, BACK)
-    repeats = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(windows, SENT).groupBy("seg").applyInArrow(_answered, BACK)
+    known = by_chunk.applyInArrow(seen, SEEN).groupBy("seg").applyInArrow(shared, SHARED)
+    covers = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(around, AROUND).groupBy("seg").applyInArrow(cover, COVER)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     if with_text:
         schema += f", kept_text binary, rest {texts.schema['rest'].dataType.simpleString()}"
-    out = by_chunk.cogroup(repeats.groupBy("chunk")).applyInArrow(result, schema)
+    out = by_chunk.cogroup(covers.groupBy("chunk")).applyInArrow(result, schema)
     return out.withColumn("kept_text", F.decode("kept_text", "UTF-8")) if with_text else out
-
-
-__all__ = ["NO_ID", "substring_dedup"]

@@ -9,15 +9,15 @@ can be scanned by itself.
 Each segment of anchors sorts its suffixes and takes the common prefix of
 neighbours.  A stack scan gives the tree of common-prefix intervals.  In each
 interval the suffixes are put in the order of what stands before them, read
-backwards: neighbours there show how far all or some extend to the left, and an
-interval whose parts have different left neighbours is a maximal repeat with
-the interval's common prefix as its right part.  Every occurrence is reported,
-not only those next to each other in the array.
+backwards, and scanned in the same way: an interval of that scan whose parts
+differ in the next byte to the left, and that does not lie in one child of the
+prefix interval, is a maximal repeat.  The whole group with every occurrence is
+the result, not only those next to each other in the array.
 
-How it is spread: texts are dealt once into chunks.  A chunk sends each
-different anchor once, then each different surrounding of an anchor that is
-known to occur elsewhere (at most ``2 * length`` bytes), however often it has
-it.  A passage in a third of all documents costs its segment one entry a chunk.
+Surroundings end where an anchor's windows end, so that a repeat longer than
+these comes out as several that overlap.  ``suffix_repeats`` returns the groups'
+occurrences, ``suffix_dedup`` what is left of each text.  How it is spread, and
+what becomes of a passage in very many documents, is told in ``repeats``.
 
 Defined cases: a missing text is empty; shorter texts stay whole; overlapping
 occurrences in one text count; rows that repeat are separate documents and
@@ -32,243 +32,107 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
-from .common import U64, anchors, buffers, canonical, chunked, cut, mix, raw, rolling, runs, segment, word_hashes
-from .substring_dedup import _lookup, _table
-
-SEEN = "seg int, chunk int, h binary, twice binary"
-SHARED = "chunk int, h binary"
-AROUND = "seg int, chunk int, h binary, key binary, before binary, size binary, twice binary, body binary"
-COVER = "chunk int, key binary, a binary, b binary"
-
-
-class _Bytes:
-    """A chunk's bytes and its anchors: where each is, its hash, and the bytes [low, high) of the windows it stands for."""
-
-    def __init__(self, table: pa.Table, length: int, gram: int):
-        self.data, self.off = buffers(table["text"])
-        found = [(np.empty(0, np.int64),) * 3 + (np.empty(0, U64),)]
-        r = runs(self.off[:-1] >> 19)  # pieces of whole texts, about half a MB each: they bound the memory
-        for a, b in zip(r[:-1], r[1:], strict=True):
-            found.append(self.anchored(self.off[a : b + 1], length, gram))
-        self.at, self.low, self.high, self.h = (np.concatenate(x) for x in zip(*found, strict=True))
-
-    def anchored(self, off: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        start, data = off[0], self.data[off[0] : off[-1]]
-        off = off - start
-        n = len(data) - length + 1
-        none = np.empty(0, np.int64)
-        if n <= 0:
-            return none, none, none, np.empty(0, U64)
-        bad = np.zeros(len(data) + 1, np.int32)
-        np.add.at(bad, np.maximum(off[:-1], off[1:] - length + 1), 1)
-        np.add.at(bad, off[1:], -1)
-        whole = np.cumsum(bad[:n]) == 0
-        g = rolling(mix(np.arange(1, 257, dtype=U64))[data], gram)
-        starts, at = anchors(g, whole, length - gram + 1)
-        if not len(at):
-            return none, none, none, np.empty(0, U64)
-        r = runs(at)
-        return at[r[:-1]] + start, starts[r[:-1]] + start, starts[r[1:] - 1] + length + start, g[at[r[:-1]]]
-
-    def keys(self, use: np.ndarray) -> np.ndarray:
-        """The same for occurrences with the same anchor and the same bytes around it."""
-        low, high = self.low[use], self.high[use]
-        return mix(word_hashes(self.data, low, high) ^ mix(self.h[use] + (self.at[use] - low).astype(U64)))
-
-
-def _common(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """For each row the length of the common start, at most most."""
-    if not a.shape[1]:
-        return np.zeros(len(a), np.int64)
-    differ = a != b
-    first = differ.argmax(axis=1)
-    first[~differ[np.arange(len(a)), first]] = a.shape[1]
-    return np.minimum(first, most)
-
-
-def _order(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The order of rows padded with zero bytes; of equal ones the shorter comes first, as zero bytes may be real."""
-    by_size = np.argsort(size, kind="stable")
-    if not rows.shape[1]:
-        return by_size
-    return by_size[np.argsort(np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel()[by_size], kind="stable")]
-
-
-def intervals(lcp: list[int]):
-    """(common prefix, first, last) of each interval of the suffix array, inner ones first. lcp[i] is that of i - 1 and i."""
-    stack = [(0, 0)]
-    for i in range(1, len(lcp) + 1):
-        now, left = lcp[i] if i < len(lcp) else 0, i - 1
-        while stack[-1][0] > now:
-            prefix, left = stack.pop()
-            yield prefix, left, i - 1
-        if stack[-1][0] < now:
-            stack.append((now, left))
-
-
-def maximal_repeats(h: np.ndarray, before: np.ndarray, size: np.ndarray, twice: np.ndarray, bodies: list[bytes], length: int):
-    """(entries, start, end) arrays: stretches of entries' bodies that occur elsewhere too, at least length bytes each.
-
-    An entry is an anchor (its hash, the number of bytes before it) within a
-    body; twice: this very body occurs more than once.
-    """
-    n, out = len(h), []
-    whole = np.flatnonzero(twice)
-    out.append((whole, np.zeros(len(whole), np.int64), size[whole]))
-    after = size - before
-    most_after, most_before = (int(x.max()) if n else 0 for x in (after, before))
-    right, left = np.zeros((n, 8 + most_after), np.uint8), np.zeros((n, most_before), np.uint8)
-    right[:, :8] = h.astype(">u8").view(np.uint8).reshape(-1, 8)
-    for i, body in enumerate(bodies):
-        b = np.frombuffer(body, np.uint8)
-        right[i, 8 : 8 + after[i]] = b[before[i] :]
-        left[i, : before[i]] = b[: before[i]][::-1]
-    order = _order(right, after)
-    right, left, before, after = right[order], left[order], before[order], after[order]
-    lcp = np.zeros(n, np.int64)
-    if n > 1:
-        lcp[1:] = _common(right[1:, 8:], right[:-1, 8:], np.minimum(after[1:], after[:-1]))
-        lcp[1:][(right[1:, :8] != right[:-1, :8]).any(axis=1)] = 0
-        pair = _common(left[1:], left[:-1], np.minimum(before[1:], before[:-1]))
-    pairs = []
-    for prefix, i, j in intervals(lcp.tolist()):
-        if j == i + 1:
-            pairs.append((prefix, i))
-            continue
-        if prefix + int(before[i : j + 1].max()) < length:
-            continue
-        part, own = left[i : j + 1], before[i : j + 1]
-        by_left = _order(part, own)
-        near = _common(part[by_left[1:]], part[by_left[:-1]], np.minimum(own[by_left[1:]], own[by_left[:-1]]))
-        best = np.zeros(len(part), np.int64)
-        best[by_left[1:]] = near
-        best[by_left[:-1]] = np.maximum(best[by_left[:-1]], near)
-        hit = np.flatnonzero(best + prefix >= length)
-        out.append((order[i + hit], own[hit] - best[hit], own[hit] + prefix))
-    if pairs:
-        prefix, i = np.array(pairs).T
-        hit = prefix + pair[i] >= length
-        prefix, i = prefix[hit], i[hit]
-        for k in (i, i + 1):
-            out.append((order[k], before[k] - pair[i], before[k] + prefix))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-def _jobs(length: int, gram: int, segments: int):
-    def seen(key, table):
-        c = _Bytes(canonical(table), length, gram)
-        h = np.sort(c.h)
-        r = runs(h)
-        twice = np.diff(r) > 1
-        h = h[r[:-1]] if len(h) else h
-        out = {"seg": [], "chunk": [], "h": [], "twice": []}
-        for seg, a, b in cut(h, segments):
-            out["seg"].append(seg)
-            out["chunk"].append(key[0].as_py())
-            out["h"].append(raw(h[a:b]))
-            out["twice"].append(raw(np.packbits(twice[a:b])))
-        return _table(out, SEEN)
-
-    def shared(table):
-        parts = [np.frombuffer(x, U64) for x in table["h"].to_pylist()]
-        twice = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(p)) for x, p in zip(table["twice"].to_pylist(), parts, strict=True)]
-        h, twice = np.concatenate(parts), np.concatenate(twice).astype(bool)
-        order = np.argsort(h)
-        r = runs(h[order])
-        often = np.empty(len(h), bool)
-        often[order] = np.repeat((np.diff(r) > 1) | np.logical_or.reduceat(twice[order], r[:-1]), np.diff(r))
-        out, a = {"chunk": [], "h": []}, 0
-        for chunk, p in zip(table["chunk"].to_pylist(), parts, strict=True):
-            hit = p[often[a : a + len(p)]]
-            a += len(p)
-            if len(hit):
-                out["chunk"].append(chunk)
-                out["h"].append(raw(hit))
-        return _table(out, SHARED)
+from .common import U64, anchors, buffers, canonical, chunked, mix, rolling, runs
+from .repeats import AROUND, COVER, SEEN, SHARED, Occurrences, covered, jobs, table_of
+
+PART = 1 << 19
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+REPEATS = "doc_id long, start long, n_bytes long, repeat long"
+
+
+def _anchored(data: np.ndarray, off: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the texts data[off[i] : off[i + 1]], as positions in data: anchors, the stretches that they stand for, their hashes."""
+    found = [(np.empty(0, np.int64),) * 3 + (np.empty(0, U64),)]
+    r = runs(off[:-1] // PART)  # some whole texts at a time, and of a long text overlapping parts: they bound the memory
+    for i, j in zip(r[:-1], r[1:], strict=True):
+        end = int(off[j])
+        for a in range(int(off[i]), max(int(off[i]) + 1, end - length + 1), 2 * PART):
+            b = min(end, a + 2 * PART + length - 1)
+            part, n = data[a:b], b - a - length + 1
+            if n <= 0:
+                continue
+            ends = off[i + 1 : j] - a  # a window over a text's end doesn't count
+            ends = ends[(ends > 0) & (ends < len(part))]
+            bad = np.zeros(len(part) + 1, np.int32)
+            np.add.at(bad, np.maximum(0, ends - length + 1), 1)
+            np.add.at(bad, ends, -1)
+            whole = np.cumsum(bad[:n]) == 0
+            g = rolling(mix(np.arange(1, 257, dtype=U64))[part], gram)
+            starts, at = anchors(g, whole, length - gram + 1)
+            if len(at):
+                k = runs(at)
+                found.append((at[k[:-1]] + a, starts[k[:-1]] + a, starts[k[1:] - 1] + length + a, g[at[k[:-1]]]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _reader(length: int, gram: int):
+    def read(chunk: int, table: pa.Table) -> Occurrences:
+        data, off = buffers(table["text"])
+        return Occurrences(data, *_anchored(data, off, length, gram), None, chunk)
+
+    return read
+
+
+def _flow(docs: DataFrame, length: int, gram: int, chunk_bytes: int, heavy: int):
+    if not 0 < gram <= length < 1 << 15:
+        raise ValueError("0 < gram <= length < 32768 is needed")
+    texts, n = chunked(docs, chunk_bytes)
+    read = _reader(length, gram)
+    seen, shared, around, cover = jobs(lambda chunk, table: read(chunk, canonical(table)), length, n, heavy, np.uint8, False)
+    by_chunk = texts.groupBy("chunk")
+    known = by_chunk.applyInArrow(seen, SEEN).groupBy("seg").applyInArrow(shared, SHARED)
+    covers = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(around, AROUND).groupBy("seg").applyInArrow(cover, COVER)
+    return by_chunk.cogroup(covers.groupBy("chunk")), read
 
-    def around(key, table, back):
-        c = _Bytes(canonical(table), length, gram)
-        known = np.sort(np.concatenate([np.frombuffer(x, U64) for x in back["h"].to_pylist()] or [np.empty(0, U64)]))
-        use = np.flatnonzero(_lookup(known, c.h)[0])
-        out = {x.split()[0]: [] for x in AROUND.split(", ")}
-        if len(use):
-            keys = c.keys(use)
-            order = np.argsort(keys, kind="stable")
-            r = runs(keys[order])
-            twice, first = np.diff(r) > 1, order[r[:-1]]
-            by_seg = np.argsort(segment(c.h[use[first]], segments), kind="stable")
-            first, twice = first[by_seg], twice[by_seg]
-            use, keys = use[first], keys[first]
-            seg = segment(c.h[use], segments)
-            low, high = c.low[use], c.high[use]
-            r = runs(seg)
-            for a, b in zip(r[:-1], r[1:], strict=True):
-                values = (int(seg[a]), key[0].as_py(), raw(c.h[use[a:b]]), raw(keys[a:b]), raw((c.at[use[a:b]] - low[a:b]).astype(np.uint16)), raw((high[a:b] - low[a:b]).astype(np.uint16)), raw(np.packbits(twice[a:b])), b"".join(c.data[x:y].tobytes() for x, y in zip(low[a:b], high[a:b], strict=True)))
-                for name, value in zip(out, values, strict=True):
-                    out[name].append(value)
-        return _table(out, AROUND)
 
-    def cover(table):
-        rows = table.to_pylist()
-        sizes = [np.frombuffer(x["size"], np.uint16).astype(np.int64) for x in rows]
-        h, keys = (np.concatenate([np.frombuffer(x[k], U64) for x in rows]) for k in ("h", "key"))
-        before = np.concatenate([np.frombuffer(x["before"], np.uint16) for x in rows]).astype(np.int64)
-        twice = np.concatenate([np.unpackbits(np.frombuffer(x["twice"], np.uint8), count=len(s)) for x, s in zip(rows, sizes, strict=True)]).astype(bool)
-        bodies = []
-        for x, s in zip(rows, sizes, strict=True):
-            ends = np.cumsum(s)
-            bodies += [x["body"][a:b] for a, b in zip(ends - s, ends, strict=True)]
-        entry, a, b = maximal_repeats(h, before, np.concatenate(sizes), twice, bodies, length)
-        out = {"chunk": [], "key": [], "a": [], "b": []}
-        ends = np.cumsum([len(s) for s in sizes])
-        order = np.argsort(entry, kind="stable")
-        entry, a, b = entry[order], a[order], b[order]
-        cuts = np.searchsorted(entry, np.concatenate(([0], ends)))
-        for x, i, j in zip(rows, cuts[:-1], cuts[1:], strict=True):
-            if j > i:
-                for name, value in zip(out, (x["chunk"], raw(keys[entry[i:j]]), raw(a[i:j].astype(np.uint16)), raw(b[i:j].astype(np.uint16))), strict=True):
-                    out[name].append(value)
-        return _table(out, COVER)
+def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 64, chunk_bytes: int = 2 << 20, heavy: int = 512) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs (doc_id, text)."""
+    both, read = _flow(docs, length, gram, chunk_bytes, heavy)
 
     def result(key, table, back):
         table = canonical(table)
-        c = _Bytes(table, length, gram)
-        gone = np.zeros(len(c.data) + 1, np.int32)
-        if back.num_rows and len(c.at):
-            keys = np.concatenate([np.frombuffer(x, U64) for x in back["key"].to_pylist()])
-            a, b = (np.concatenate([np.frombuffer(x, np.uint16) for x in back[k].to_pylist()]).astype(np.int64) for k in "ab")
-            order = np.argsort(keys, kind="stable")
-            keys, a, b = keys[order], a[order], b[order]
-            own = c.keys(np.arange(len(c.at)))
-            i, j = np.searchsorted(keys, own), np.searchsorted(keys, own, side="right")
-            hit = np.flatnonzero(j > i)
-            times = (j - i)[hit]
-            which = np.repeat(i[hit], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            low = np.repeat(c.low[hit], times)
-            np.add.at(gone, low + a[which], 1)
-            np.add.at(gone, low + b[which], -1)
+        data, off = buffers(table["text"])
+        gone = np.zeros(len(data) + 1, np.int32)
+        if back.num_rows:
+            _, a, b, _ = covered(read(key[0].as_py(), table), back, length)
+            np.add.at(gone, a, 1)
+            np.add.at(gone, b, -1)
         gone = np.cumsum(gone[:-1]) > 0
         removed, spans, digests = [], [], []
-        for x, y in zip(c.off[:-1], c.off[1:], strict=True):
-            part, cover = c.data[x:y], gone[x:y]
+        for x, y in zip(off[:-1], off[1:], strict=True):
+            part, cover = data[x:y], gone[x:y]
             n = int(cover.sum())
             removed.append(n)
             spans.append(int(cover[0]) + int((cover[1:] & ~cover[:-1]).sum()) if n else 0)
             digests.append(hashlib.sha256(part[~cover] if n else part).hexdigest())
-        return pa.table({"doc_id": table["doc_id"], "n_bytes": pa.array(np.diff(c.off), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
+        return pa.table({"doc_id": table["doc_id"], "n_bytes": pa.array(np.diff(off), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
 
-    return seen, shared, around, cover, result
+    return both.applyInArrow(result, RESULT)
 
 
-def suffix_dedup(docs: DataFrame, length: int = 200, gram: int = 64, chunk_bytes: int = 2 << 20) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs (doc_id, text)."""
-    if not 0 < gram <= length < 1 << 15:
-        raise ValueError("0 < gram <= length < 32768 is needed")
-    texts, n = chunked(docs, chunk_bytes)
-    seen, shared, around, cover, result = _jobs(length, gram, n)
-    by_chunk = texts.groupBy("chunk")
-    known = by_chunk.applyInArrow(seen, SEEN).groupBy("seg").applyInArrow(shared, SHARED)
-    covers = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(around, AROUND).groupBy("seg").applyInArrow(cover, COVER)
-    return by_chunk.cogroup(covers.groupBy("chunk")).applyInArrow(result, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+def suffix_repeats(docs: DataFrame, length: int = 200, gram: int = 64, chunk_bytes: int = 2 << 20, heavy: int = 512) -> DataFrame:
+    """doc_id, start, n_bytes, repeat: each occurrence of each maximal repeat (its hash) in docs (doc_id, text), in bytes.
+
+    The repeats are those of anchors' surroundings; each has two occurrences or
+    more, and none of them could be longer on either side within these.
+    """
+    both, read = _flow(docs, length, gram, chunk_bytes, heavy)
+
+    def result(key, table, back):
+        table = canonical(table)
+        c = read(key[0].as_py(), table)
+        _, a, b, _ = covered(c, back, length)
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        keep = np.ones(len(a), bool)
+        keep[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        a, b = a[keep], b[keep]
+        off = buffers(table["text"])[1]
+        row = np.searchsorted(off, a, side="right") - 1
+        h = np.fromiter((xxhash.xxh3_64_intdigest(c.sym[x:y]) for x, y in zip(a, b, strict=True)), U64, len(a))
+        return table_of({"doc_id": table["doc_id"].take(pa.array(row)).to_pylist(), "start": a - off[row], "n_bytes": b - a, "repeat": h.view(np.int64)}, REPEATS)
+
+    return both.applyInArrow(result, REPEATS)

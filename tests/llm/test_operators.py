@@ -20,8 +20,9 @@ from ledgerspark.llm.lm_scoring import lm_scores
 from ledgerspark.llm.media import MediaArchive, media_features
 from ledgerspark.llm.packing import best_fit, best_fit_packing
 from ledgerspark.llm.quality_rules import quality_verdicts
+from ledgerspark.llm.repeats import groups, jobs
 from ledgerspark.llm.substring_dedup import substring_dedup
-from ledgerspark.llm.suffix_dedup import maximal_repeats, suffix_dedup
+from ledgerspark.llm.suffix_dedup import _reader, suffix_dedup, suffix_repeats
 
 SCHEMA = "doc_id long, text string, lang string, source string, chunk int, seg string, key string, rest string, n long"
 
@@ -78,9 +79,9 @@ def brute_substring(data, k):
         yield i, len(w), sum(gone), sha(b" ".join(x for x, g in zip(w, gone) if not g))
 
 
-@pytest.mark.parametrize("chunk_bytes", [4 << 20, 3000])
-def test_substring_dedup(docs, chunk_bytes):
-    got = rows(substring_dedup(docs, chunk_bytes=chunk_bytes))
+@pytest.mark.parametrize("more", [{}, {"chunk_bytes": 3000}, {"chunk_bytes": 3000, "heavy": 2}])
+def test_substring_dedup(docs, more):
+    got = rows(substring_dedup(docs, **more))
     assert got == sorted(brute_substring([r[:2] for r in texts()], 50), key=repr)
     assert sum(r[2] > 0 for r in got) > 10
 
@@ -104,11 +105,85 @@ def brute_suffix(data, k):
         yield i, len(b), sum(gone), spans, sha(bytes(x for x, g in zip(b, gone) if not g))
 
 
-@pytest.mark.parametrize("chunk_bytes", [2 << 20, 3000])
-def test_suffix_dedup(docs, chunk_bytes):
-    own = docs.filter("text IS NULL OR length(text) < 60000")
-    data = [r[:2] for r in texts() if r[1] is None or len(r[1]) < 60000]
-    assert rows(suffix_dedup(own, chunk_bytes=chunk_bytes)) == sorted(brute_suffix(data, 200), key=repr)
+def test_substring_dedup_needs_the_extension(docs, monkeypatch):
+    """Without the extension of seeds only whole surroundings that are equal would be found."""
+    import numpy as np
+
+    monkeypatch.setattr("ledgerspark.llm.repeats.common", lambda a, b, most: np.zeros(len(a), np.int64))
+    assert rows(substring_dedup(docs)) != sorted(brute_substring([r[:2] for r in texts()], 50), key=repr)
+
+
+@pytest.mark.parametrize("more", [{}, {"chunk_bytes": 3000}, {"chunk_bytes": 3000, "heavy": 2}])
+def test_suffix_dedup(docs, more):
+    assert rows(suffix_dedup(docs, **more)) == sorted(brute_suffix([r[:2] for r in texts()], 200), key=repr)
+
+
+def test_suffix_repeats(docs):
+    """Each group has two occurrences or more, of one string of 200 bytes or more."""
+    body = defaultdict(list)
+    for r in texts():
+        body[r[0]].append((r[1] or "").encode())
+    found, times = defaultdict(set), Counter()
+    for r in suffix_repeats(docs, chunk_bytes=20000).collect():
+        own = next(b for b in body[r.doc_id] if len(b) >= r.start + r.n_bytes)
+        found[r.repeat].add(own[r.start : r.start + r.n_bytes])
+        times[r.repeat] += 1
+    assert all(len(x) == 1 and len(next(iter(x))) >= 200 for x in found.values()) and len(found) > 20
+    assert min(times.values()) >= 2 and max(times.values()) >= 8
+
+
+def brute_maximal(bodies, before, length):
+    """All (right, left, members) with a pair that can't be extended."""
+    pre = lambda x, y: next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+    found = set()
+    for i in range(len(bodies)):
+        for j in range(i):
+            right, left = pre(bodies[i][before[i]:], bodies[j][before[j]:]), pre(bodies[i][: before[i]][::-1], bodies[j][: before[j]][::-1])
+            if right + left >= length:
+                own = bodies[i][before[i] - left : before[i] + right]
+                found.add((left, right, frozenset(k for k, b in enumerate(bodies) if before[k] >= left and b[before[k] - left : before[k] + right] == own)))
+    return found
+
+
+def test_groups_are_all_maximal_repeats():
+    import numpy as np
+
+    r = random.Random(12)
+    for _ in range(60):
+        bodies, before = [], []
+        for _ in range(r.randint(2, 9)):
+            left = "".join(r.choice("ab") for _ in range(r.randint(0, 5)))
+            bodies.append((left + "X" + "".join(r.choice("ab\0") for _ in range(r.randint(0, 6)))).encode())
+            before.append(len(left))
+        size, sym = np.array([len(b) for b in bodies]), np.frombuffer(b"".join(bodies), np.uint8)
+        members, left, right, cuts = groups(np.ones(len(bodies), np.uint64), np.array(before), size, np.cumsum(size) - size, sym, 3)
+        got = [(int(a), int(b), frozenset(members[x:y].tolist())) for a, b, x, y in zip(left, right, cuts[:-1], cuts[1:], strict=True)]
+        assert len(got) == len(set(got)) and set(got) == brute_maximal(bodies, before, 3)
+
+
+def test_passage_in_very_many_documents(spark):
+    """Of a passage with different surroundings in each document no segment gets more than a bounded number of entries an anchor."""
+    import numpy as np
+    import pyarrow as pa
+
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghijkl") for _ in range(6))
+    passage = " ".join(word() for _ in range(60))
+    data = [(i, " ".join([word() for _ in range(30)]) + passage + " ".join([word() for _ in range(30)])) for i in range(1600)]
+    chunks = [pa.table({"doc_id": pa.array([i for i, _ in data[a : a + 100]], pa.int64()), "text": [t for _, t in data[a : a + 100]]}) for a in range(0, 1600, 100)]
+    seen, shared, around, cover = jobs(_reader(200, 64), 200, 4, 64, np.uint8, False)
+    key = lambda i: (pa.scalar(i),)
+    told = pa.concat_tables([seen(key(i), t) for i, t in enumerate(chunks)])
+    by = lambda t, c, v: t.filter(pa.compute.equal(t[c], v))
+    known = pa.concat_tables([shared(by(told, "seg", s)) for s in range(4) if by(told, "seg", s).num_rows])
+    sent = pa.concat_tables([around(key(i), t, by(known, "chunk", i)) for i, t in enumerate(chunks)])
+    entries = Counter()
+    for x in sent.to_pylist():
+        entries.update((x["key"] is None, h) for h in np.frombuffer(x["h"], np.uint64).tolist())
+    assert max(entries.values()) <= 64  # 1600 for an anchor at the passage's ends, were they not taken apart
+    assert sum(len(x["h"]) for x in sent.to_pylist() if x["key"] is None)
+    d = spark.createDataFrame(data[:200], "doc_id long, text string")
+    assert rows(suffix_dedup(d, heavy=64)) == sorted(brute_suffix(data[:200], 200), key=repr)
 
 
 def test_suffix_dedup_of_one_long_run(spark):
@@ -121,8 +196,8 @@ def test_repeats_that_end_in_zero_bytes():
 
     for bodies, before in (([b"a" * 199 + b"\0", b"a" * 199, b"a" * 199 + b"\0"], 0), ([b"\0" + b"a" * 199, b"a" * 199, b"\0" + b"a" * 199], 100)):
         size = np.array([len(x) for x in bodies])
-        entry, a, b = maximal_repeats(np.ones(3, np.uint64), np.minimum(before, size - 100) if before else np.zeros(3, np.int64), size, np.zeros(3, bool), bodies, 200)
-        assert {(int(i), int(x), int(y)) for i, x, y in zip(entry, a, b, strict=True)} == {(0, 0, 200), (2, 0, 200)}
+        members, left, right, cuts = groups(np.ones(3, np.uint64), np.minimum(before, size - 100) if before else np.zeros(3, np.int64), size, np.cumsum(size) - size, np.frombuffer(b"".join(bodies), np.uint8), 200)
+        assert set(members.tolist()) == {0, 2} and left.tolist() == [before] and right.tolist() == [200 - before] and cuts.tolist() == [0, 2]
 
 
 def brute_groups(data):
