@@ -39,23 +39,41 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: The folders that this session's tables were written to and that are still there.
+MADE: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read again: its lineage ends there."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    MADE.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Removes tables that nothing reads any more."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        if path in MADE:
+            MADE.remove(path)
 
 
 def chunked(docs: DataFrame, chunk_bytes: int, *more: Column) -> tuple[DataFrame, int]:
     """(chunk, doc_id, text, ...) and the number of chunks, each of about chunk_bytes of text.
 
-    One key never decides a chunk: the hash takes the id and the text's length,
-    so copies, sources and missing ids spread.
+    No key decides a chunk: the hash takes the id, the text's length and the
+    row's place in its file, so copies, sources, missing ids and rows that repeat
+    spread.  The place must not depend on the run, so docs should be a scan of
+    files (or a table written before), not the output of a shuffle.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0))
     total = docs.agg(F.sum(size.cast("long")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     n = max(1, -(-((total["b"] or 0) + 64 * total["n"]) // chunk_bytes))
-    chunk = F.pmod(F.xxhash64("doc_id", size), F.lit(n)).cast("int").alias("chunk")
+    chunk = F.pmod(F.xxhash64("doc_id", size, F.monotonically_increasing_id()), F.lit(n)).cast("int").alias("chunk")
     return docs.select(chunk, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more), n
 
 
@@ -205,5 +223,14 @@ def cut(sorted_hashes: np.ndarray, n: int) -> list[tuple[int, int, int]]:
     return [(int(s[a]), int(a), int(b)) for a, b in zip(r[:-1], r[1:], strict=True)]
 
 
+def packed(a: np.ndarray) -> bytes:
+    """Sorted 64-bit values as differences, by byte position: leading zeros then compress away."""
+    return raw(np.diff(a, prepend=U64(0)).view(np.uint8).reshape(-1, 8).T)
+
+
+def unpacked(b: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(U64).ravel())
+
+
 def raw(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()

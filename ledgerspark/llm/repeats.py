@@ -31,7 +31,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from .common import U64, cut, mix, raw, runs, segment, word_hashes
+from .common import U64, cut, mix, packed, raw, runs, segment, unpacked, word_hashes
 
 SEEN = "seg int, chunk int, h binary, low binary, more binary, kinds binary"
 SHARED = "chunk int, h binary, heavy binary"
@@ -205,8 +205,11 @@ def groups(h: np.ndarray, before: np.ndarray, size: np.ndarray, start: np.ndarra
     return members, np.asarray(lefts, np.int64), np.asarray(rights, np.int64), np.concatenate(([0], np.cumsum(sizes)))
 
 
-def repeats(h, key, before, size, start, low, high, sym, length: int):
-    """(entry, from, to, least place): stretches of entries' surroundings that occur in a further place."""
+def repeats(h, key, before, size, start, low, high, sym, length: int, apart: bool):
+    """(entry, from, to, least place): stretches of entries' surroundings that occur in a further place.
+
+    apart: different surroundings are different places in any case.
+    """
     order = np.lexsort((key, h))
     new = np.concatenate(([True], (key[order][1:] != key[order][:-1]) | (h[order][1:] != h[order][:-1])))
     r = np.append(np.flatnonzero(new), len(order))
@@ -225,7 +228,7 @@ def repeats(h, key, before, size, start, low, high, sym, length: int):
         if len(members):
             least, most = np.minimum.reduceat(low[members], cuts[:-1]), np.maximum.reduceat(high[members], cuts[:-1])
             times = np.diff(cuts)
-            use = np.repeat(least < most, times)
+            use = np.repeat((least < most) | apart, times)
             own = before[members]
             out.append(tuple(x[use] for x in (members, own - np.repeat(left, times), own + np.repeat(right, times), np.repeat(least, times))))
         a = b
@@ -270,12 +273,12 @@ def jobs(read: Callable[[int, pa.Table], Occurrences], length: int, segments: in
             new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (h[1:] != h[:-1]))).astype(np.int64)
             kinds, (low, high), h = np.add.reduceat(new, r[:-1]), c.places(order, r), h[r[:-1]]
             for seg, a, b in cut(h, segments):
-                for name, value in zip(out, (seg, c.chunk, raw(h[a:b]), planes(low[a:b]), planes(high[a:b] - low[a:b]), planes(kinds[a:b])), strict=True):
+                for name, value in zip(out, (seg, c.chunk, packed(h[a:b]), planes(low[a:b]), planes(high[a:b] - low[a:b]), planes(kinds[a:b])), strict=True):
                     out[name].append(value)
         return table_of(out, SEEN)
 
     def shared(table):
-        parts = [np.frombuffer(x, U64) for x in table["h"].to_pylist()]
+        parts = [unpacked(x) for x in table["h"].to_pylist()]
         h = np.concatenate(parts)
         low, more, kinds = (np.concatenate([unplaned(x) for x in table[c].to_pylist()]) for c in ("low", "more", "kinds"))
         order, r, least = answered(h, low, low + more)
@@ -335,7 +338,7 @@ def jobs(read: Callable[[int, pa.Table], Occurrences], length: int, segments: in
             sizes = [np.frombuffer(x["size"], np.uint16) for x in entries]
             h, key = (joined([x[k] for x in entries], U64) for k in ("h", "key"))
             before, (low, high), size = joined([x["before"] for x in entries], np.uint16).astype(np.int64), _places(entries), np.concatenate(sizes).astype(np.int64)
-            entry, a, b, least = repeats(h, key, before, size, np.cumsum(size) - size, low, high, joined([x["body"] for x in entries], symbol), length)
+            entry, a, b, least = repeats(h, key, before, size, np.cumsum(size) - size, low, high, joined([x["body"] for x in entries], symbol), length, not first_stays)
             if first_stays:
                 entry, a, b, least = (x[high[entry] > least] for x in (entry, a, b, least))
             cuts = np.searchsorted(entry, np.cumsum([0, *map(len, sizes)]))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, anchors, buffers, canonical, chunked, ids_of, rolling, runs, word_hashes, words
+from .common import U64, anchors, buffers, canonical, chunked, ids_of, mix, rolling, runs, word_hashes, words
 from .repeats import AROUND, COVER, SEEN, SHARED, Occurrences, covered, jobs
 
 
@@ -51,7 +51,8 @@ class _Words:
         starts, at = anchors(g, row[:n] == row[window - 1 :] if n else np.zeros(0, bool), window - gram + 1)
         r = runs(at) if len(at) else np.zeros(1, np.int64)
         at, low, high = (at[r[:-1]], starts[r[:-1]], starts[r[1:] - 1] + window) if len(at) else (at, at, at)
-        self.seeds = Occurrences(h, at, low, high, g[at] if len(at) else np.empty(0, U64), ids_of(table)[row[at]], chunk)
+        # mixed: seeds are least values, all of them small
+        self.seeds = Occurrences(h, at, low, high, mix(g[at]) if len(at) else np.empty(0, U64), ids_of(table)[row[at]], chunk)
 
 
 def substring_dedup(docs: DataFrame, window: int = 50, gram: int = 20, chunk_bytes: int = 4 << 20, with_text: bool = False, heavy: int = 512) -> DataFrame:

@@ -64,7 +64,7 @@ def _anchored(data: np.ndarray, off: np.ndarray, length: int, gram: int) -> tupl
             starts, at = anchors(g, whole, length - gram + 1)
             if len(at):
                 k = runs(at)
-                found.append((at[k[:-1]] + a, starts[k[:-1]] + a, starts[k[1:] - 1] + length + a, g[at[k[:-1]]]))
+                found.append((at[k[:-1]] + a, starts[k[:-1]] + a, starts[k[1:] - 1] + length + a, mix(g[at[k[:-1]]])))  # mixed: anchors are least values, all of them small
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
