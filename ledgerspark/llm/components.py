@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -39,7 +39,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*")
-        now = written(small.filter("a > b").distinct(), "edges")
+        before, now = now, written(small.filter("a > b").distinct(), "edges")
+        discard(edges.sparkSession, [before.written_to])
         was, state = state, tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == was:
             return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

@@ -1,8 +1,9 @@
 """Best-fit packing of documents into sequences, with conflicts.
 
 Documents longer than a sequence are cut into pieces of its capacity.  Pieces
-are dealt into shards of bounded size by a salted hash, so neither a large
-source nor a large group of copies makes a large shard.  A shard packs its
+are dealt into shards of bounded size by a hash that takes the row's place, so
+neither a large source nor a large group of copies nor a row that repeats very
+often makes a large shard.  A shard packs its
 pieces in falling size.  Its open bins are kept in the order of what is left in
 them; each carries one bitmap of the sources and one of the duplicate clusters
 that it holds.  A piece goes to the bin with the least sufficient rest whose
@@ -12,7 +13,7 @@ opened only if it finds none.
 
 So no bin holds two documents of one duplicate cluster, nor (unless
 ``mix_sources`` is off) two of one source.  Clusters are those of a column, by
-default of texts that are equal but for letter case (A-Z) and white space.
+default of texts that are equal but for letter case and white space.
 
 Defined cases: a missing or word-less text has one row with no bin; a missing
 source is a source of its own; a missing doc_id is packed like any other;
@@ -87,7 +88,7 @@ def _pack(capacity: int, mix_sources: bool):
 
 
 def same_words() -> Column:
-    """A cluster: equal texts but for letter case and white space."""
+    """A cluster: texts that are equal but for letter case and white space."""
     return F.xxhash64(F.array_join(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(f"({WORD_JAVA})")), " "))
 
 
@@ -108,7 +109,7 @@ def best_fit_packing(docs: DataFrame, capacity: int = 2048, mix_sources: bool =
     pieces = pieces.withColumn("start", F.col("piece") * capacity).withColumn("n_tokens", F.least(F.lit(capacity), F.col("n") - F.col("start")))
     total = sized.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("n") / capacity)))).first()[0] or 0
     shards = max(1, -(-total // shard_rows))
-    dealt = pieces.filter("n_tokens > 0").withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "n", "cluster"), F.lit(shards)))
+    dealt = pieces.filter("n_tokens > 0").withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "n", "cluster", F.monotonically_increasing_id()), F.lit(shards)))
     packed = dealt.groupBy("shard").applyInArrow(_pack(capacity, mix_sources), PACKED)
     none = F.lit(None).cast("long")
     return packed.unionByName(sized.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("piece"), F.lit(0).cast("long").alias("start"), "n", none.alias("bin_id"), none.alias("bin_offset")).withColumnRenamed("n", "n_tokens"))

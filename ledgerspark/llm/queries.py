@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import byte_bpe
 from .chat_format import chat_digest, chat_windows
-from .common import written
 from .jaccard_join import similar_groups
 from .language_id import language_id
 from .lm_scoring import lm_scores
 from .media import media_features
+from .oracles import ORACLE_SQL
 from .packing import best_fit_packing, word_count
 from .quality_rules import quality_verdicts
 from .substring_dedup import substring_dedup
@@ -34,11 +34,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The duplicate clusters are op5's groups of near copies, by a key of the row; texts are not joined."""
-    docs = documents(spark, sf_dir).select("doc_id", "text", "source", word_count().alias("n_words"), F.monotonically_increasing_id().alias("row"))
-    rows = written(docs, "rows")
-    groups = similar_groups(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), F.col("component_id").alias("cluster"))
-    return best_fit_packing(rows.drop("text").join(groups, "row"), cluster=F.col("cluster"), n_words=F.col("n_words"))
+    """The duplicate clusters are op5's groups of near copies; sources and numbers of words come along with the groups, texts don't."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source", word_count().alias("n_words"))
+    groups = similar_groups(docs, carry=("source", "n_words"))
+    return best_fit_packing(groups, cluster=F.col("component_id"), n_words=F.col("n_words"))
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,4 +80,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
