@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on character n-grams.
 
-Features are the hashed 1- to 3-grams of lower-cased characters (what is no
-letter counts as a space), weighted 1 + log tf times idf, of unit length.  The
+Features are the hashed 1- to 3-grams of lower-cased characters (what is neither
+letter nor mark counts as a space), weighted 1 + log tf times idf, of unit length.  The
 document frequencies come from all training documents.  The weights are fitted
 on a sample bounded by ``max_train`` rows, dealt evenly over the languages, by
 follow-the-regularised-leader with elastic-net penalties, which leaves most
@@ -11,7 +11,8 @@ temperature is found that calibrates the probabilities.
 Training uses text and lang of training documents, prediction the text alone.
 Nothing is shuffled but the document frequencies, summed by feature.  The model
 (``languages * 2**bits`` weights) is broadcast: its size does not depend on the
-corpus.
+corpus, but on the number of languages, of which more than ``max_labels`` are
+refused with an error.
 
 Defined cases: a missing text or one without a letter is ``und`` with score 0;
 without training documents that have a language every text is; a missing doc_id
@@ -22,14 +23,14 @@ columns are ignored.
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs
-
 UNKNOWN = "und"
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 SAMPLE = "lang string, place long, ids binary, counts binary"
@@ -39,37 +40,41 @@ def held_out(divisor: int = 4, remainder: int = 2) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % divisor == remainder
 
 
-def spaced() -> np.ndarray:
-    """For code points below 128: themselves if letters, else a space."""
-    return np.array([c if chr(c).isalpha() else 32 for c in range(128)], np.uint32)
+def letters() -> bytes:
+    """A bit for each code point: whether it is a letter or a mark."""
+    return np.packbits([unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)]).tobytes()
+
 
+def spaced(bits: bytes) -> np.ndarray:
+    """For each code point: itself if letter or mark, else a space."""
+    return np.where(np.unpackbits(np.frombuffer(bits, np.uint8)), np.arange(0x110000, dtype=np.uint32), np.uint32(32))
 
-def counts(text: str, bits: int, low: np.ndarray) -> np.ndarray:
-    """How often each hashed 1-, 2- and 3-gram occurs."""
+
+def counts(text: str, bits: int, own: np.ndarray) -> np.ndarray:
+    """How often each hashed 1-, 2- and 3-gram occurs. own: what each code point counts as."""
     out = np.zeros(1 << bits, np.int64)
     shift = np.uint32(32 - bits)
     text = f" {text.lower()} "
     for a in range(0, len(text), 1 << 20):
         x = np.frombuffer(text[max(0, a - 2) : a + (1 << 20)].encode("utf-32-le", "surrogatepass"), np.uint32)
-        ascii_ = x < 128
-        x = np.where(ascii_, low[np.where(ascii_, x, 0)], x)
+        x = own[x]
         h = x * np.uint32(0x9E3779B1)
-        own = 2 if a else 0  # what the piece before has counted
+        done = 2 if a else 0  # what the piece before has counted
         for n in range(1, 4):
             if n > 1:
                 h = (h[:-1] ^ (h[:-1] >> np.uint32(15))) * np.uint32(0x85EBCA77) + x[n - 1 :] * np.uint32(0xC2B2AE3D)
             mixed = (h ^ (h >> np.uint32(13))) * np.uint32(0x27D4EB2F)
-            out += np.bincount(mixed[max(0, own - n + 1) :] >> shift, minlength=1 << bits)
+            out += np.bincount(mixed[max(0, done - n + 1) :] >> shift, minlength=1 << bits)
     return out
 
 
-def _frequencies(bits: int):
+def _frequencies(bits: int, known: bytes):
     def job(batches):
-        low, out, rows = spaced(), np.zeros(1 << bits, np.int64), 0
+        own, out, rows = spaced(known), np.zeros(1 << bits, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
                 if text.is_valid:
-                    out += counts(text.as_py(), bits, low) > 0
+                    out += counts(text.as_py(), bits, own) > 0
                     rows += 1
         at = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(([-1], at)), pa.int32()), pa.array(np.concatenate(([rows], out[at])), pa.int64())], ["feature", "docs"])
@@ -77,15 +82,15 @@ def _frequencies(bits: int):
     return job
 
 
-def _sampled(bits: int):
+def _sampled(bits: int, known: bytes):
     def job(batches):
-        low = spaced()
+        own = spaced(known)
         for batch in batches:
             out: list[list] = [[], [], [], []]
             for lang, place, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                c = counts(text, bits, low)
+                c = counts(text, bits, own)
                 at = np.flatnonzero(c)
-                for o, v in zip(out, (lang, place, at.astype(np.uint32).tobytes(), np.minimum(c[at], 65535).astype(np.uint16).tobytes()), strict=True):
+                for o, v in zip(out, (lang, place, at.astype(np.uint32).tobytes(), c[at].tobytes()), strict=True):
                     o.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.string(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["lang", "place", "ids", "counts"])
 
@@ -135,13 +140,16 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
-def train(docs: DataFrame, bits: int = 14, max_train: int = 4000) -> tuple[list[str], np.ndarray, np.ndarray, float]:
+def train(docs: DataFrame, bits: int = 14, max_train: int = 4000, max_labels: int = 512, known: bytes = b"") -> tuple[list[str], np.ndarray, np.ndarray, float]:
     """(languages, idf, weights, temperature) from docs (doc_id, text, lang); rows without text or lang don't count."""
     docs = docs.filter("text IS NOT NULL AND lang IS NOT NULL")
-    found = dict(docs.groupBy("lang").count().collect())
+    found = dict(docs.groupBy("lang").count().limit(max_labels + 1).collect())
+    if len(found) > max_labels:
+        raise ValueError(f"lang has more than {max_labels} values; max_labels allows more, at 2**{bits} weights each")
+    known = known or letters()
     if not found:
         return [], np.zeros(1 << bits), np.zeros((0, (1 << bits) + 1), np.float32), 1.0
-    rows = docs.select("text").mapInArrow(_frequencies(bits), "feature int, docs long").groupBy("feature").agg(F.sum("docs").alias("docs")).collect()
+    rows = docs.select("text").mapInArrow(_frequencies(bits, known), "feature int, docs long").groupBy("feature").agg(F.sum("docs").alias("docs")).collect()
     df = np.zeros(1 << bits)
     for r in rows:
         if r["feature"] >= 0:
@@ -152,12 +160,13 @@ def train(docs: DataFrame, bits: int = 14, max_train: int = 4000) -> tuple[list[
     place = F.xxhash64("doc_id", F.octet_length("text"), F.lit(7))
     share = F.create_map(*[F.lit(x) for lang, n in found.items() for x in (lang, min(1.0, max_train / len(found) / n))])
     sample = docs.withColumn("place", place).filter(F.pmod(F.col("place"), F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20))
-    picked = sorted(sample.select("lang", "place", "text").mapInArrow(_sampled(bits), SAMPLE).collect(), key=lambda r: (r["place"], r["lang"], r["ids"]))
+    picked = sorted(sample.select("lang", "place", "text").mapInArrow(_sampled(bits, known), SAMPLE).collect(), key=lambda r: (r["place"], r["lang"], r["ids"]))
     labels = sorted(found)
     prepared = []
     for r in picked:
-        at = np.frombuffer(r["ids"], np.uint32).astype(np.int64)
-        prepared.append((labels.index(r["lang"]), at, weighted(np.frombuffer(r["counts"], np.uint16).astype(float), idf[at])))
+        at = np.frombuffer(r["ids"], np.uint32)
+        prepared.append((labels.index(r["lang"]), at, weighted(np.frombuffer(r["counts"], np.int64).astype(float), idf[at]).astype(np.float32)))
+    del picked
     kept, fit = prepared[::5], [x for i, x in enumerate(prepared) if i % 5]
     weights = follow_leader(fit or prepared, len(labels), 1 << bits)
     logits = np.stack([weights[:, at] @ x + weights[:, -1] for _, at, x in kept or fit], axis=1) if prepared else np.zeros((len(labels), 0))
@@ -165,10 +174,10 @@ def train(docs: DataFrame, bits: int = 14, max_train: int = 4000) -> tuple[list[
     return labels, idf, weights.astype(np.float32), t
 
 
-def _predict(model, bits: int):
+def _predict(model, bits: int, known: bytes, with_row: bool):
     def job(batches):
         labels, idf, weights, t = model.value
-        low, letter = spaced(), regex.compile(r"\p{L}").search
+        own, letter = spaced(known), regex.compile(r"\p{L}").search
         for batch in batches:
             found, score = [], []
             for value in batch.column(2):
@@ -177,23 +186,23 @@ def _predict(model, bits: int):
                     found.append(UNKNOWN)
                     score.append(0.0)
                     continue
-                c = counts(text, bits, low)
+                c = counts(text, bits, own)
                 at = np.flatnonzero(c)
                 p = softmax((weights[:, at] @ weighted(c[at], idf[at]) + weights[:, -1]) / t)
                 found.append(labels[int(p.argmax())])
                 score.append(float(min(1.0, p.max())))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(score, pa.float64()), *batch.columns[3:]], ["doc_id", "held_out", "lang_pred", "score", *batch.schema.names[3:]])
+            more = batch.schema.names[2:] if with_row else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(score, pa.float64()), *[batch.column(c) for c in more]], ["doc_id", "held_out", "lang_pred", "score", *more])
 
     return job
 
 
-def language_id(docs: DataFrame, bits: int = 14, max_train: int = 4000, row: str | None = None) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for each row of docs (doc_id, text, lang), and its key, a long column, if row names one."""
-    more = [F.col(row).cast("long").alias(row)] if row else []
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), *more)
-    model = docs.sparkSession.sparkContext.broadcast(train(docs.filter(~held_out()), bits, max_train))
-    out = docs.select("doc_id", held_out().alias("held_out"), "text", *([row] if row else []))
-    return out.mapInArrow(_predict(model, bits), f"{RESULT}, {row} long" if row else RESULT)
-
-
-__all__ = ["UNKNOWN", "held_out", "language_id", "runs"]
+def language_id(docs: DataFrame, bits: int = 14, max_train: int = 4000, max_labels: int = 512, with_row: bool = False) -> DataFrame:
+    """doc_id, held_out, lang_pred, score for each row of docs (doc_id, text, lang); with_row adds text and rest, a struct of the other columns."""
+    known = letters()
+    more = ["text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]).alias("rest")] if with_row else []
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    model = docs.sparkSession.sparkContext.broadcast(train(own.filter(~held_out()), bits, max_train, max_labels, known))
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"), *more[1:])
+    schema = RESULT + (f", text string, rest {out.schema['rest'].dataType.simpleString()}" if with_row else "")
+    return out.mapInArrow(_predict(model, bits, known, with_row), schema)
