@@ -1,7 +1,8 @@
 """Media columns: archives of media members, written and read by a Spark data source.
 
-``media_archive`` is a Spark data source in Python.  Writing makes one ZIP
-archive of stored members a task, named after the attempt; the archives count
+``media_archive`` is a Spark data source in Python.  Writing makes ZIP archives
+of stored members, each task its own, a new one after ``archiveBytes``, so that
+an archive's directory is of bounded size; the archives count
 from the moment the job commits, when a manifest lists them, so tasks that
 failed or ran twice leave nothing that is read.  Reading plans partitions as
 byte ranges of the archives, from their sizes alone.  A task opens an archive's
@@ -10,7 +11,7 @@ Arrow batches of bounded size.  A member that can't be read, or whose checksum
 is wrong, is tried again by its offset, alone, on a fresh handle.
 
 Options: ``path`` (a folder that all machines share, any store that pyarrow
-opens), ``partitionBytes`` (33554432), ``batchBytes`` (4194304), ``retries``
+opens), ``archiveBytes`` (134217728), ``partitionBytes`` (33554432), ``batchBytes`` (4194304), ``retries``
 (3), ``onFailure`` (``fail``, or ``null``: the member's row without payload).
 
 ``media_features`` stores texts as 8-bit greyscale PNG pictures, 576 samples
@@ -58,43 +59,54 @@ class ByteRange(InputPartition):
 
 
 @dataclass
-class Archive(WriterCommitMessage):
-    name: str | None
-    size: int = 0
+class Archives(WriterCommitMessage):
+    """The archives of a task: names and sizes."""
+
+    made: list[tuple[str, int]]
 
 
 class ArchiveWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, archive_bytes: int):
+        self.path, self.archive_bytes = path, archive_bytes
 
     def write(self, iterator):
-        """One archive of the rows (name, payload) of this task."""
+        """Archives of the rows (name, payload) of this task."""
         store, root = opened(self.path)
         store.create_dir(root, recursive=True)
-        name, out = f"part-{uuid.uuid4().hex}.zip", None
+        made, out, archive, size = [], None, None, 0
+
+        def close():
+            archive.close()
+            out.close()
+            made.append((name, store.get_file_info(f"{root}/{name}").size))
+
         for batch in iterator:
-            if out is None and batch.num_rows:
-                out = store.open_output_stream(f"{root}/{name}")
-                archive = zipfile.ZipFile(out, "w", zipfile.ZIP_STORED, allowZip64=True)
             for member, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                archive.writestr(zipfile.ZipInfo(member), payload.as_buffer().to_pybytes())
-        if out is None:
-            return Archive(None)
-        archive.close()
-        out.close()
-        return Archive(name, store.get_file_info(f"{root}/{name}").size)
+                if archive is None:
+                    name, size = f"part-{uuid.uuid4().hex}.zip", 0
+                    out = store.open_output_stream(f"{root}/{name}")
+                    archive = zipfile.ZipFile(out, "w", zipfile.ZIP_STORED, allowZip64=True)
+                body = payload.as_buffer().to_pybytes()
+                archive.writestr(zipfile.ZipInfo(member), body)
+                size += len(body) + len(member) + 256
+                if size >= self.archive_bytes:
+                    close()
+                    archive = None
+        if archive is not None:
+            close()
+        return Archives(made)
 
     def commit(self, messages):
         store, root = opened(self.path)
         store.create_dir(root, recursive=True)
         with store.open_output_stream(f"{root}/_manifest-{uuid.uuid4().hex}.json") as f:
-            f.write(json.dumps([[m.name, m.size] for m in messages if m is not None and m.name]).encode())
+            f.write(json.dumps([x for m in messages if m is not None for x in m.made]).encode())
 
     def abort(self, messages):
         store, root = opened(self.path)
         for m in messages:
-            if m is not None and m.name:
-                store.delete_file(f"{root}/{m.name}")
+            for name, _ in m.made if m is not None else []:
+                store.delete_file(f"{root}/{name}")
 
 
 class ArchiveReader(DataSourceReader):
@@ -170,7 +182,7 @@ class MediaArchive(DataSource):
         return ArchiveReader(self.options)
 
     def writer(self, schema, overwrite):
-        return ArchiveWriter(self.options["path"])
+        return ArchiveWriter(self.options["path"], int(self.options.get("archiveBytes", 128 << 20)))
 
 
 def _part(kind: bytes, body: bytes) -> bytes:
@@ -223,10 +235,12 @@ def feature(x: np.ndarray) -> str:
 
 
 def _stored(batches):
+    n = 0  # members are numbered through, so that no two of a task share a name
     for batch in batches:
         for start in range(0, batch.num_rows, 1024):
             part = batch.slice(start, 1024)
-            names = [f"{start + i}-{'' if d is None else d}.png" for i, d in enumerate(part.column(0).to_pylist())]
+            names = [f"{n + i}-{'' if d is None else d}.png" for i, d in enumerate(part.column(0).to_pylist())]
+            n += part.num_rows
             media = [picture(t.as_buffer().to_pybytes() if t.is_valid else b"") for t in part.column(1).cast(pa.large_binary())]
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(media, pa.binary())], ["name", "payload"])
 
