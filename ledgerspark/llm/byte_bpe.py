@@ -9,8 +9,9 @@ pairs over a linked list of bytes: the pair of least rank is merged, the first
 of equals, until no pair has a rank: O(n log n) for n bytes, so a very long
 pre-token is no trap.
 
-Encoded pre-tokens are remembered up to a bound (two generations of them), for
-as long as a Python worker is reused.  Nothing is shuffled; the vocabulary (its
+Encoded pre-tokens are remembered up to a bound in bytes (two generations of
+them; those of over 128 characters for one call only), for as long as a Python
+worker is reused.  Nothing is shuffled; the vocabulary (its
 size is fixed) is broadcast.
 
 Defined cases: a missing or empty text has no tokens; a missing doc_id is
@@ -100,7 +101,7 @@ class PerfectHash:
 
 
 class ByteBPE:
-    def __init__(self, ranks: list[tuple[bytes, int]], pattern: str, table: PerfectHash | None = None, remember: int = 1 << 19):
+    def __init__(self, ranks: list[tuple[bytes, int]], pattern: str, table: PerfectHash | None = None, remember: int = 112 << 20):
         self.table = table or PerfectHash([k for k, _ in ranks])
         self.id = np.empty(len(ranks), np.int64)
         self.id[self.table.order] = [r for _, r in ranks]
@@ -110,6 +111,8 @@ class ByteBPE:
         self.pair = [self.rank.get(bytes((x, y)), -1) for x in range(256) for y in range(256)]
         self.known: dict[str, str] = {}
         self.older: dict[str, str] = {}
+        self.size = 0  # of known, in bytes
+        self.passing: list[str] = []  # what is to be forgotten at once
         self.word = {str(r): k for k, r in ranks}  # by the decimal number
         self.find = None
 
@@ -141,12 +144,12 @@ class ByteBPE:
         return out
 
     def learn(self, words: set[str]) -> None:
-        """Remembers the ids of all words. When there are too many, those not met since the last time are forgotten."""
+        """The ids of all words, remembered. When there are too many, those not met since the last time are forgotten."""
         missing = words.difference(self.known)
         if not missing:
             return
-        if len(self.known) + len(missing) > self.remember:
-            self.older, self.known = self.known, {}
+        if self.size > self.remember:
+            self.older, self.known, self.size = self.known, {}, 0
             missing = words
         fresh = []
         for w in missing:
@@ -155,9 +158,12 @@ class ByteBPE:
                 fresh.append(w)
             else:
                 self.known[w] = found
+                self.size += 128 + 2 * len(w)
         raw = [w.encode() for w in fresh]
         for w, b, slot in zip(fresh, raw, self.table.find(raw), strict=True):
-            self.known[w] = str(self.id[slot]) if slot >= 0 else ",".join(map(str, self.merged(b)))
+            self.known[w] = ids = str(self.id[slot]) if slot >= 0 else ",".join(map(str, self.merged(b)))
+            self.size += 112 + 2 * len(w) + len(ids)
+        self.passing = [w for w in fresh if len(w) > 128]
 
     def encode(self, text: str) -> list[int]:
         joined, _ = self.joined(text)
@@ -172,6 +178,9 @@ class ByteBPE:
             part = words[a : a + (1 << 16)]
             self.learn(set(part))
             out.append(",".join(map(self.known.__getitem__, part)))
+            for w in self.passing:
+                self.size -= 112 + 2 * len(w) + len(self.known.pop(w))
+            self.passing = []
         whole = ",".join(out)
         return whole, whole.count(",") + 1 if whole else 0
 
