@@ -17,9 +17,14 @@ different n-grams and gets a byte for each.
 Probabilities are smoothed by the lower order: with context h,
 P(w|h) = (c(hw) + k P(w|h')) / (c(h) + k), down to P(w) = (c(w) + 1) / (N + V + 1).
 
-The base score needs exact counts c(w), N and V, which the words' segments
-know and send with the answers; nothing of the vocabulary's size is collected
-or broadcast.
+Counts in the numerator and of the context are estimates (the middle of a
+level), so the probabilities of all words after a context sum to 1 but for the
+quantisation.
+
+The base score needs exact counts c(w), which the words' segments know and send
+with the answers, and N and V, which one aggregate gives.  Nothing of the
+vocabulary's size is collected or broadcast, and a chunk sends rows only to
+segments that it has n-grams for.
 
 Defined cases: a missing text is empty and scores its end token alone; a
 missing doc_id counts as the empty string for the split (crc32 0: training); an
@@ -34,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, buffers, chunked, cut, lowered, mix, raw, runs, word_hashes, words
+from .common import U64, buffers, chunked, cut, lowered, mix, packed, raw, runs, unpacked, word_hashes, words
 from .repeats import table_of as _table
 
 END, START = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
@@ -42,7 +47,9 @@ LEVELS = 48
 PROBES = 4
 WORD, GRAM = 0, 1
 ASK = "seg int, chunk int, kind int, h binary, c binary"
-ANSWER = "chunk int, seg int, kind int, level binary, c binary, total long, different long"
+ANSWER = "chunk int, seg int, kind int, level binary, c binary"
+TOTALS = "seg int, h binary, c binary"
+PIECE = 4 << 20
 
 
 def held_out(divisor: int = 7, remainder: int = 2) -> Column:
@@ -141,7 +148,39 @@ def estimate(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, (2.0**level + 2.0 ** (level - 1) - 1) / 2, 0.0)
 
 
-def _jobs(order: int, smoothing: float, segments: int, filter_bytes: int, bits_an_entry: float):
+def _totals(segments: int):
+    """The number of training tokens and of different ones."""
+
+    def pieces(batches):
+        found, size = [], 0
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                found.append(_counted(tokens(part.column(0))[0]))
+                size += part.column(0).nbytes
+                if size >= PIECE:
+                    yield from sent(found)
+                    found, size = [], 0
+        yield from sent(found)
+
+    def sent(found):
+        out: dict[str, list] = {"seg": [], "h": [], "c": []}
+        if found:
+            h, c = _summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            for seg, a, b in cut(h, segments):
+                for name, value in zip(out, (seg, packed(h[a:b]), raw(c[a:b].astype(np.uint32))), strict=True):
+                    out[name].append(value)
+        return _table(out, TOTALS).to_batches()
+
+    def summed(table):
+        h = np.concatenate([unpacked(x) for x in table["h"].to_pylist()])
+        c = np.concatenate([np.frombuffer(x, np.uint32) for x in table["c"].to_pylist()])
+        return pa.table({"total": pa.array([int(c.sum(dtype=np.int64))], pa.int64()), "different": pa.array([len(np.unique(h))], pa.int64())})
+
+    return pieces, summed
+
+
+def _jobs(order: int, smoothing: float, segments: int, filter_bytes: int, bits_an_entry: float, total: int, different: int):
     starts = np.array([_start(n) for n in range(1, order)], U64)
 
     def parts(table):
@@ -163,10 +202,8 @@ def _jobs(order: int, smoothing: float, segments: int, filter_bytes: int, bits_a
         for kind, pieces in found.items():
             h, c = _summed(*(np.concatenate(x) for x in zip(*pieces, strict=True)))
             c = c.astype(np.uint32)
-            cuts = {seg: (a, b) for seg, a, b in cut(h, segments)}
-            for seg in range(segments) if kind == WORD else cuts:  # words also to those that have none: they tell N and V
-                a, b = cuts.get(seg, (0, 0))
-                for name, value in zip(out, (seg, key[0].as_py(), kind, raw(h[a:b]), raw(c[a:b])), strict=True):
+            for seg, a, b in cut(h, segments):
+                for name, value in zip(out, (seg, key[0].as_py(), kind, packed(h[a:b]), raw(c[a:b])), strict=True):
                     out[name].append(value)
         return _table(out, ASK)
 
@@ -175,26 +212,24 @@ def _jobs(order: int, smoothing: float, segments: int, filter_bytes: int, bits_a
         known = {}
         for kind in (WORD, GRAM):
             own = [x for x in rows if x["kind"] == kind]
-            h = np.concatenate([np.frombuffer(x["h"], U64) for x in own] or [np.empty(0, U64)])
+            h = np.concatenate([unpacked(x["h"]) for x in own] or [np.empty(0, U64)])
             c = np.concatenate([np.frombuffer(x["c"], np.uint32) for x in own] or [np.empty(0, np.uint32)]).astype(np.int64)
             known[kind] = _summed(h, c)
         names = {kind: mix(h) if kind == WORD else h for kind, (h, _) in known.items()}
         bloom = LogBloom(np.concatenate(list(names.values())), np.concatenate([c for _, c in known.values()]), filter_bytes // 8 // segments, bits_an_entry)
         level = {kind: bloom.levels(h) for kind, h in names.items()}
-        total, different = int(known[WORD][1].sum()), int((known[WORD][1] > 0).sum())
         out: dict[str, list] = {x.split()[0]: [] for x in ANSWER.split(", ")}
         for x in rows:
             kind = x["kind"]
-            at = np.searchsorted(known[kind][0], np.frombuffer(x["h"], U64))
+            at = np.searchsorted(known[kind][0], unpacked(x["h"]))
             exact = raw(known[kind][1][at]) if kind == WORD else None
-            for name, value in zip(out, (x["chunk"], key[0].as_py(), kind, raw(level[kind][at]), exact, total, different), strict=True):
+            for name, value in zip(out, (x["chunk"], key[0].as_py(), kind, raw(level[kind][at]), exact), strict=True):
                 out[name].append(value)
         return _table(out, ANSWER)
 
     def score(key, table, back):
         rows = sorted(back.to_pylist(), key=lambda x: (x["kind"], x["seg"]))
         known_words, known_grams = ([x for x in rows if x["kind"] == kind] for kind in (WORD, GRAM))
-        total, different = sum(x["total"] for x in known_words), sum(x["different"] for x in known_words)
         count = np.concatenate([np.frombuffer(x["c"], np.int64) for x in known_words])
         rough, rough_gram = (estimate(np.concatenate([np.frombuffer(x["level"], np.uint8) for x in own] or [np.empty(0, np.uint8)])) for own in (known_words, known_grams))
         pieces = parts(table)
@@ -236,7 +271,9 @@ def lm_scores(docs: DataFrame, order: int = 2, filter_bytes: int = 32 << 20, smo
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs (doc_id, text); filter_bytes is the filter's least size."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts, n = chunked(docs, chunk_bytes, held_out().alias("held_out"))
-    ask, answer, score = _jobs(order, smoothing, n, filter_bytes, bits_an_entry)
+    pieces, summed = _totals(n)
+    total, different = docs.filter(~held_out()).select("text").mapInArrow(pieces, TOTALS).groupBy("seg").applyInArrow(summed, "total long, different long").agg(F.sum("total"), F.sum("different")).first()
+    ask, answer, score = _jobs(order, smoothing, n, filter_bytes, bits_an_entry, total or 0, different or 0)
     by_chunk = texts.groupBy("chunk")
     counts = by_chunk.applyInArrow(ask, ASK).groupBy("seg").applyInArrow(answer, ANSWER)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
