@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import parsing as P
@@ -49,10 +49,40 @@ def reconciled(rows: DataFrame, dataset: str, lookups: dict[str, DataFrame]) ->
     return out
 
 
-def materialized(staged: DataFrame, target: DataFrame, dataset: str) -> DataFrame:
-    """The final table after all staged rows; a flag outside its values fails the job."""
-    rows = deduped(keyed(staged, dataset), dataset)
+def with_ids(rows: DataFrame, column: str, after: int) -> DataFrame:
+    """Rows with ids that rise from after, by partition: rows are counted there, never sorted together."""
+    own = Window.partitionBy("__part").orderBy("__at")
+    rows = rows.withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()})
+    parts = rows.groupBy("__part").count().withColumn("__before", F.coalesce(F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rows = rows.join(F.broadcast(parts.select("__part", "__before")), "__part")
+    return rows.withColumn(column, (F.row_number().over(own) + F.col("__before") + after).cast("long")).drop("__part", "__at", "__before")
+
+
+def placeholders(rows: DataFrame, dataset: str, lookups: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """For each lookup the rows to add: placeholders for codes of any column that it lacks."""
+    columns: dict[str, list[str]] = {}
+    for column, table in REFERENCES.get(dataset, {}).items():
+        columns.setdefault(table, []).append(column)
+    out = {}
+    for table, own in columns.items():
+        codes = rows.select(F.explode(F.array(*own)).alias("code"))
+        out[table] = missing_codes(codes, "code", lookups[table]).select("code", P.placeholder(table, F.col("code")).alias("description"))
+    return out
+
+
+def checked(rows: DataFrame, dataset: str) -> DataFrame:
+    """The rows; a flag outside its values fails the job."""
     if dataset == "simples_options":
         ok = lambda c: F.col(c).isNull() | F.col(c).isin("S", "N", "")
         rows = rows.filter(F.assert_true(ok("simples_option_flag") & ok("mei_option_flag"), F.lit("violates check constraint on flags")).isNull())
-    return upsert(target, rows, KEYS[dataset])
+    return rows
+
+
+def merged(rows: DataFrame, target: DataFrame, dataset: str) -> DataFrame:
+    """The final table after keyed rows, some of which may have the same key."""
+    return upsert(target, checked(deduped(rows, dataset), dataset), KEYS[dataset])
+
+
+def materialized(staged: DataFrame, target: DataFrame, dataset: str) -> DataFrame:
+    """The final table after all staged rows."""
+    return merged(keyed(staged, dataset), target, dataset)

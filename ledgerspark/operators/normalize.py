@@ -18,7 +18,7 @@ def normalized(lines: DataFrame, layout: tuple[Field, ...], defaults: dict[str,
     defaults = defaults or {}
     rows = P.once(lines, __fields=P.split_line(F.col(line)))
     fitted, count_error = P.fit_fields(F.col("__fields"), len(layout))
-    rows = P.once(rows, __fields=F.transform(fitted, P.text), __error=count_error)
+    rows = P.once(rows, __fields=P.texts(fitted, F.col(line)), __error=count_error)
     values, missing, wrong = {}, [], {}
     for i, f in enumerate(layout):
         raw = F.col("__fields")[i]
@@ -42,14 +42,15 @@ def valid(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("error").isNull()).drop("error")
 
 
-def quarantined(rows: DataFrame, dataset: str, file_path: Column, row_number: Column, layout: tuple[Field, ...] | None = None, id_: Column | None = None) -> DataFrame:
-    """The rows with an error, as quarantine records; with an id where one is given."""
+def quarantined(rows: DataFrame, dataset: str, file_path: Column, row_number: Column, layout: tuple[Field, ...] | None = None, id_: Column | None = None, offset: Column | None = None) -> DataFrame:
+    """The rows with an error, as quarantine records; with an id and the offset behind the line where given."""
     ids = [] if id_ is None else [id_.cast("long").alias("id")]
+    at = [] if offset is None else [offset.cast("long").alias("checkpoint_offset")]
     kind = P.classify(F.col("error"))
     payload = F.to_json(F.struct(*[F.col(f.name) for f in layout or LAYOUTS[dataset]]), {"ignoreNullFields": "false"})
     from_parser = F.col("error").startswith("Unexpected field count") | F.col("error").startswith("Missing required")
     return rows.filter(F.col("error").isNotNull()).select(
-        *ids, F.lit(dataset).alias("dataset"), file_path.alias("file_path"), row_number.cast("long").alias("row_number"),
+        *ids, F.lit(dataset).alias("dataset"), file_path.alias("file_path"), row_number.cast("long").alias("row_number"), *at,
         F.when(from_parser, "VALIDATION_ERROR").otherwise("QUARANTINED_ROW").alias("error_code"), kind["category"].alias("error_category"),
         F.lit(None).cast("string").alias("error_stage"), F.col("error").alias("error_message"), F.col("value").alias("raw_line"),
         F.when(~from_parser, payload).alias("parsed_payload"), F.lit(0).alias("retry_count"), kind["retryable"].alias("can_retry_later"),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..model import schema
+
 
 def selected(rows: DataFrame, dataset: str | None = None, category: str | None = None, stage: str | None = None, retryable: bool = False, terminal: bool = False) -> DataFrame:
     if retryable and terminal:
@@ -53,6 +55,14 @@ def shown(rows: DataFrame, id_: int):
     return found
 
 
+def payload(spark: SparkSession, text: str | None, dataset: str) -> dict | None:
+    """The typed fields of a record's JSON."""
+    if text is None:
+        return None
+    found = spark.createDataFrame([(text,)], "payload string").select(F.from_json("payload", schema(dataset)).alias("p")).first().p
+    return found.asDict() if found is not None else None
+
+
 def quarantined_rows(quarantine: DataFrame, plan_files: DataFrame, plan_id: int) -> DataFrame:
     """Different (file_path, row_number) of a plan's files in quarantine, counted by dataset."""
     mine = plan_files.filter(F.col("plan_id") == plan_id).select("dataset", "file_path")

@@ -1,61 +1,180 @@
-"""Tables of Parquet snapshots: appends, upserts, deletes by anti join, atomic swaps.
+"""Tables of Parquet snapshots: appends, upserts, deletes by anti join, atomic commits over several tables.
 
-A table is a folder with folders of rows and a small file that names those of
-the current state.  A change writes a new folder and then the names, so readers
-see the old or the new state, and a failed job leaves the old one.  One writer at a
-time is assumed.
+A store is a folder of tables and of numbered states.  A state is a small JSON
+file that names the folders of rows of every table, and counters.  A change
+writes new folders of rows first; then one state file, the next by number, is
+renamed into place.  States are never changed or replaced: readers take the
+highest, so they see all of a commit or nothing of it, at any moment, and a job
+that fails before its commit leaves the state as it was.  Two writers can't both
+make the same number; the second fails.
+
+Control tables, a few rows for each file of an import, are JSON rows in files of
+their own: reading and changing them takes no job.
 """
 
 from __future__ import annotations
 
+import datetime
+import json
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: So many of the last states are kept, with the rows that they name.
+KEPT = 3
+
+
+class Conflict(RuntimeError):
+    """Another writer has made a state meanwhile."""
+
+
+class Store:
+    """The states of a folder of tables."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.open: Transaction | None = None
+
+    def _at(self, name: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+    def names(self, folder: str) -> list[str]:
+        store, where = self._at(folder)
+        return sorted(x.getPath().getName() for x in store.listStatus(where)) if store.exists(where) else []
+
+    def text(self, name: str) -> str:
+        store, where = self._at(name)
+        stream = store.open(where)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def put(self, name: str, body: str) -> None:
+        """Writes a file that must not exist, under another name first."""
+        store, where = self._at(name)
+        _, new = self._at(f"_new/{uuid.uuid4().hex}")
+        out = store.create(new, True)
+        out.write(bytearray(body.encode()))
+        out.close()
+        store.mkdirs(where.getParent())
+        if store.exists(where) or not store.rename(new, where):
+            store.delete(new, False)
+            raise Conflict(f"{self.path}/{name} exists")
+
+    def remove(self, name: str) -> None:
+        store, where = self._at(name)
+        store.delete(where, True)
+
+    def last(self) -> int:
+        """The number of the current state, 0 before the first."""
+        return max((int(x) for x in self.names("_states") if x.isdigit()), default=0)
+
+    def state(self) -> dict:
+        """What the open transaction has made of the current state, or that."""
+        return self.open.state if self.open else self.stored()
+
+    def stored(self) -> dict:
+        n = self.last()
+        return json.loads(self.text(f"_states/{n:012d}")) if n else {"tables": {}, "counters": {}}
+
+    def counter(self, name: str) -> int:
+        return self.state()["counters"].get(name, 0)
+
+    @contextmanager
+    def transaction(self):
+        """All changes to tables within become visible together, at the end, or not at all. Within another one, it is part of that."""
+        if self.open:
+            yield self.open
+            return
+        self.open = Transaction(self)
+        try:
+            yield self.open
+            self.open.commit()
+        except BaseException:
+            self.open.abandon()
+            raise
+        finally:
+            self.open = None
+
+
+class Transaction:
+    def __init__(self, store: Store):
+        self.store, self.base = store, store.last()
+        self.state = json.loads(store.text(f"_states/{self.base:012d}")) if self.base else {"tables": {}, "counters": {}}
+        self.made: list[str] = []
+        self.changed = False
+
+    def count(self, name: str, value: int) -> None:
+        self.state["counters"][name], self.changed = value, True
+
+    def name(self, table: str, parts: list[str]) -> None:
+        self.state["tables"][table], self.changed = parts, True
+
+    def commit(self) -> None:
+        if not self.changed:
+            return
+        self.store.put(f"_states/{self.base + 1:012d}", json.dumps(self.state))
+        self._tidy()
+
+    def abandon(self) -> None:
+        for part in self.made:
+            self.store.remove(part)
+
+    def _tidy(self) -> None:
+        """Removes states before the last KEPT, and the folders of rows that only they name."""
+        states = [x for x in self.store.names("_states") if x.isdigit()]
+        old, kept = states[:-KEPT], states[-KEPT:]
+        if not old:
+            return
+        parts = lambda x: {f"{t}/{p}" for t, ps in json.loads(self.store.text(f"_states/{x}"))["tables"].items() for p in ps}
+        needed = set().union(*map(parts, kept))
+        for x in old:
+            gone = parts(x) - needed
+            self.store.remove(f"_states/{x}")
+            for part in gone:
+                self.store.remove(part)
+
 
 class Table:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, store: Store, name: str, schema: T.StructType):
+        self.store, self.name, self.schema, self.spark = store, name, schema, store.spark
 
-    def _parts(self) -> list[str]:
+    def parts(self) -> list[str]:
         """The folders that make up the current state."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
-        store = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not store.exists(hadoop):
-            return []
-        return sorted(r[0] for r in self.spark.read.text(f"{self.path}/CURRENT").collect())
+        return self.store.state()["tables"].get(self.name, [])
 
     def read(self) -> DataFrame:
-        parts = self._parts()
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{p}" for p in parts]) if parts else self.spark.createDataFrame([], self.schema)
-
-    def _write(self, rows: DataFrame) -> str:
-        name = f"snapshot-{uuid.uuid4().hex}"
-        rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]).write.parquet(f"{self.path}/{name}")
-        return name
-
-    def _name(self, parts: list[str]) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        new, final = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_{uuid.uuid4().hex}"), jvm.org.apache.hadoop.fs.Path(f"{self.path}/CURRENT")
-        store = new.getFileSystem(conf)
-        out = store.create(new, True)
-        out.write(bytearray("\n".join(parts).encode()))
-        out.close()
-        store.delete(final, False)
-        if not store.rename(new, final):
-            raise OSError(f"{final} could not be written")
+        parts = self.parts()
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.store.path}/{self.name}/{p}" for p in parts]) if parts else self.spark.createDataFrame([], self.schema)
+
+    def stored_schema(self) -> T.StructType | None:
+        """The columns that the rows were written with, None without rows."""
+        parts = self.parts()
+        return self.spark.read.parquet(f"{self.store.path}/{self.name}/{parts[-1]}").schema if parts else None
+
+    def _write(self, transaction: Transaction, rows: DataFrame) -> str:
+        part = f"rows-{uuid.uuid4().hex}"
+        transaction.made.append(f"{self.name}/{part}")
+        rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]).write.parquet(f"{self.store.path}/{self.name}/{part}")
+        return part
 
     def replace(self, rows: DataFrame) -> None:
-        self._name([self._write(rows)])
+        with self.store.transaction() as t:
+            t.name(self.name, [self._write(t, rows)])
 
     def append(self, rows: DataFrame) -> None:
         """Writes the new rows only; the state's list of folders gets one more."""
-        self._name([*self._parts(), self._write(rows)])
+        with self.store.transaction() as t:
+            t.name(self.name, [*self.parts(), self._write(t, rows)])
 
     def truncate(self) -> None:
-        self.replace(self.spark.createDataFrame([], self.schema))
+        with self.store.transaction() as t:
+            t.name(self.name, [])
 
     def delete(self, condition: Column) -> int:
         """Rows that meet the condition go; how many."""
@@ -66,6 +185,46 @@ class Table:
         return n
 
 
+class Control(Table):
+    """A small table whose rows are kept as JSON and changed on the driver."""
+
+    def rows(self) -> list[dict]:
+        parts = self.parts()
+        return [self._typed(x) for x in json.loads(self.store.text(f"{self.name}/{parts[0]}"))] if parts else []
+
+    def _typed(self, row: dict) -> dict:
+        times = {f.name for f in self.schema if isinstance(f.dataType, T.TimestampType)}
+        return {k: datetime.datetime.fromisoformat(v) if k in times and v else v for k, v in row.items()}
+
+    def read(self) -> DataFrame:
+        return self.spark.createDataFrame([tuple(x.get(f.name) for f in self.schema) for x in self.rows()], self.schema)
+
+    def write(self, rows: list[dict]) -> None:
+        with self.store.transaction() as t:
+            part = f"rows-{uuid.uuid4().hex}.json"
+            plain = [{f.name: x.get(f.name) for f in self.schema} for x in rows]
+            self.store.put(f"{self.name}/{part}", json.dumps(plain, default=lambda v: v.isoformat()))
+            t.made.append(f"{self.name}/{part}")
+            t.name(self.name, [part])
+
+    def put(self, changes: list[dict], keys: tuple[str, ...]) -> None:
+        """Rows of the same keys get what is given, others are added; updated_at is set."""
+        now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+        found = {tuple(x[k] for k in keys): x for x in self.rows()}
+        for x in changes:
+            key = tuple(x[k] for k in keys)
+            found[key] = found.get(key, {}) | x | {"updated_at": now}
+        self.write(list(found.values()))
+
+    def drop(self, condition) -> int:
+        """Rows that meet the condition, a function of a row, go; how many."""
+        rows = self.rows()
+        kept = [x for x in rows if not condition(x)]
+        if len(kept) < len(rows):
+            self.write(kept)
+        return len(rows) - len(kept)
+
+
 def last_wins(rows: DataFrame, keys: tuple[str, ...], order: str) -> DataFrame:
     """One row a key: that of the greatest order. An aggregate, so it combines before the shuffle."""
     rest = [c for c in rows.columns if c not in keys]
@@ -73,9 +232,9 @@ def last_wins(rows: DataFrame, keys: tuple[str, ...], order: str) -> DataFrame:
 
 
 def first_wins(rows: DataFrame, keys: tuple[str, ...], order: str) -> DataFrame:
-    """row_number() = 1 by key."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    return rows.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    """One row a key: that of the least order, by an aggregate as well."""
+    rest = [c for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("__row")).select(*keys, "__row.*").select(*rows.columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: tuple[str, ...], now: Column | None = None) -> DataFrame:

@@ -37,6 +37,28 @@ def hydrated(files: DataFrame, checkpoints: DataFrame, batch_size: int = 500) ->
     return rows.withColumns({"done": done, "resumed": ~done & (F.col("byte_offset") > 0), "batches_done": F.least(batches(F.col("rows"), batch_size), batches(F.col("rows_committed"), batch_size))})
 
 
+def resumed(files: list[dict], checkpoints: list[dict]) -> list[dict]:
+    """hydrated() for an import's own files, on the driver: each file with its cursor and whether it is done."""
+    known = {(c["dataset"], c["file_path"], c["file_size"], c["file_mtime"]): c for c in checkpoints}
+    out = []
+    for f in in_order(files):
+        c = known.get((f["dataset"], f["file_path"], f["file_size"], f["file_mtime"]), {"byte_offset": 0, "rows_committed": 0, "status": "pending"})
+        done = c["status"] == "completed" and c["byte_offset"] >= f["file_size"]
+        out.append(f | {"byte_offset": c["byte_offset"] or 0, "rows_committed": c["rows_committed"] or 0, "status": c["status"], "done": done})
+    return out
+
+
+def in_order(files: list[dict]) -> list[dict]:
+    """A plan's files in the order of execution: by dataset, then by file."""
+    return sorted(files, key=lambda f: (f["dataset_index"] or 0, f["file_index"]))
+
+
+def display_path(path: str) -> str:
+    """parent > file"""
+    parent, name = os.path.split(path)
+    return f"{os.path.basename(parent)} > {name}" if os.path.basename(parent) else name
+
+
 def hydrated_totals(rows: DataFrame) -> DataFrame:
     return rows.groupBy("dataset").agg(F.sum("rows_committed").alias("rows_done"), F.sum("batches_done").alias("batches_done"), F.count_if("done").alias("skipped"), F.count_if("resumed").alias("resumed"))
 

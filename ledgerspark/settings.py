@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 
-from .sources.files import ValidationError
+from .errors import ValidationError
 
 
 def config_path() -> str:
