@@ -25,6 +25,15 @@ def text(c: Column) -> Column:
     return F.nullif(utrim(c), F.lit(""))
 
 
+#: Blanks other than the space, or a space where a field may begin or end.
+ODD = r"[\t\n\x0B\f\r\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+
+
+def texts(fields: Column, line: Column) -> Column:
+    """text() of each field; a line that has no blanks but spaces needs no pattern for each."""
+    return F.when(line.rlike(ODD), F.transform(fields, text)).otherwise(F.transform(fields, lambda x: F.nullif(F.trim(x), F.lit(""))))
+
+
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """body of value, which is computed once, wherever body has it."""
     return F.transform(F.array(value), body)[0]
@@ -55,7 +64,9 @@ def split_line(line: Column) -> Column:
     )
     joined = bound(F.split(safe, '"', -1), unquoted)
     fields = F.split(F.when(line.contains('"'), joined).otherwise(F.replace(safe, F.lit(";"), F.lit(MARK))), MARK, -1)
-    return bound(fields, lambda f: F.when(line.contains("\\") | line.contains(MARK), F.transform(f, _unescape)).otherwise(f))
+    escaped = line.contains("\\") | line.contains(MARK)
+    # a line without quotes and marks, as most are, is cut as it is
+    return F.when(line.contains('"') | escaped, bound(fields, lambda f: F.when(escaped, F.transform(f, _unescape)).otherwise(f))).otherwise(F.split(line, ";", -1))
 
 
 def _unescape(x: Column) -> Column:
@@ -95,6 +106,7 @@ def date(c: Column, trimmed: bool = False) -> tuple[Column, Column]:
 
 def boolean(c: Column, trimmed: bool = False) -> tuple[Column, Column]:
     t = F.lower(c if trimmed else utrim(c))
+    # What stands for true and false.
     return F.when(t.isin("1", "true", "t", "y", "yes", "s"), True).when(t.isin("0", "false", "f", "n", "no"), False), F.lit(None).cast("string")
 
 
@@ -104,6 +116,7 @@ PARSERS = {"text": lambda c, trimmed=False: (c if trimmed else text(c), F.lit(No
 def classify(message: Column) -> Column:
     """struct(category, retryable) of an error message; the first that matches."""
     m = F.lower(message)
+    # Parts of messages, their categories and whether a later try may help.
     known = (
         ("invalid byte sequence for encoding", "invalid_utf8_sequence", True), ("violates not-null constraint", "not_null_violation", False),
         ("violates foreign key constraint", "foreign_key_violation", False), ("field count", "invalid_field_count", True), ("transform", "transform_error", True),
@@ -130,6 +143,25 @@ def placeholder(table: str, code: Column) -> Column:
     return F.concat(F.lit(PLACEHOLDERS[table] + " ("), code, F.lit(")"))
 
 
+def display_path(path: Column) -> Column:
+    """parent > file"""
+    parts = F.split(path, "/")
+    return F.when(F.size(parts) > 1, F.concat(F.element_at(parts, -2), F.lit(" > "), F.element_at(parts, -1))).otherwise(path)
+
+
+# What text in a COPY file writes for these characters; the backslash comes first.
+COPY_ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("\f", "\\f"), ("\b", "\\b"), ("\v", "\\v"))
+
+
+def copy_text(c: Column, kind: str = "text") -> Column:
+    """A value as a field of a COPY text file; missing ones are \\N, true and false t and f."""
+    value = F.when(c, "t").otherwise("f") if kind == "boolean" else c.cast("string")
+    if kind == "text":
+        for plain, escaped in COPY_ESCAPES:
+            value = F.replace(value, F.lit(plain), F.lit(escaped))
+    return F.when(c.isNull(), F.lit("\\N")).otherwise(value)
+
+
 def without_nul(c: Column) -> tuple[Column, Column]:
     """(text without NUL characters, how many there were)."""
     clean = F.translate(c, "\x00", "")

@@ -16,34 +16,78 @@ class Field:
     required: bool = False
 
 
-def _layout(text: str) -> tuple[Field, ...]:
-    """name[:kind][!], separated by blanks; ! marks what is required."""
-    out = []
-    for part in text.split():
-        name, _, kind = part.rstrip("!").partition(":")
-        out.append(Field(name, kind or "text", part.endswith("!")))
-    return tuple(out)
-
-
-_CODES = "code! description!"
-
 # The columns of each dataset, in file order.
 LAYOUTS: dict[str, tuple[Field, ...]] = {
-    "companies": _layout("cnpj_root! company_name! legal_nature_code! responsible_qualification_code! share_capital:numeric! company_size_code! responsible_federative_entity"),
-    "establishments": _layout(
-        "cnpj_root! cnpj_order! cnpj_check_digits! branch_type_code! trade_name registration_status_code! registration_status_date:date "
-        "registration_status_reason_code foreign_city_name country_code activity_start_date:date main_cnae_code! secondary_cnaes_raw street_type "
-        "street_name street_number address_complement district postal_code state_code city_code phone_area_code_1 phone_number_1 "
-        "phone_area_code_2 phone_number_2 fax_area_code fax_number email special_status special_status_date:date"
+    "companies": (
+        Field("cnpj_root", required=True),
+        Field("company_name", required=True),
+        Field("legal_nature_code", required=True),
+        Field("responsible_qualification_code", required=True),
+        Field("share_capital", "numeric", required=True),
+        Field("company_size_code", required=True),
+        Field("responsible_federative_entity"),
     ),
-    "partners": _layout(
-        "cnpj_root! partner_type_code! partner_name! partner_document partner_qualification_code! entry_date:date country_code "
-        "legal_representative_document legal_representative_name legal_representative_qualification_code age_group_code"
+    "establishments": (
+        Field("cnpj_root", required=True),
+        Field("cnpj_order", required=True),
+        Field("cnpj_check_digits", required=True),
+        Field("branch_type_code", required=True),
+        Field("trade_name"),
+        Field("registration_status_code", required=True),
+        Field("registration_status_date", "date"),
+        Field("registration_status_reason_code"),
+        Field("foreign_city_name"),
+        Field("country_code"),
+        Field("activity_start_date", "date"),
+        Field("main_cnae_code", required=True),
+        Field("secondary_cnaes_raw"),
+        Field("street_type"),
+        Field("street_name"),
+        Field("street_number"),
+        Field("address_complement"),
+        Field("district"),
+        Field("postal_code"),
+        Field("state_code"),
+        Field("city_code"),
+        Field("phone_area_code_1"),
+        Field("phone_number_1"),
+        Field("phone_area_code_2"),
+        Field("phone_number_2"),
+        Field("fax_area_code"),
+        Field("fax_number"),
+        Field("email"),
+        Field("special_status"),
+        Field("special_status_date", "date"),
     ),
-    "simples_options": _layout("cnpj_root! simples_option_flag simples_option_date:date simples_exclusion_date:date mei_option_flag mei_option_date:date mei_exclusion_date:date"),
-    "countries": _layout(_CODES), "cities": _layout(_CODES), "partner_qualifications": _layout(_CODES),
-    "legal_natures": _layout(_CODES), "cnaes": _layout(_CODES), "reasons": _layout(_CODES),
-}
+    "partners": (
+        Field("cnpj_root", required=True),
+        Field("partner_type_code", required=True),
+        Field("partner_name", required=True),
+        Field("partner_document"),
+        Field("partner_qualification_code", required=True),
+        Field("entry_date", "date"),
+        Field("country_code"),
+        Field("legal_representative_document"),
+        Field("legal_representative_name"),
+        Field("legal_representative_qualification_code"),
+        Field("age_group_code"),
+    ),
+    "simples_options": (
+        Field("cnpj_root", required=True),
+        Field("simples_option_flag"),
+        Field("simples_option_date", "date"),
+        Field("simples_exclusion_date", "date"),
+        Field("mei_option_flag"),
+        Field("mei_option_date", "date"),
+        Field("mei_exclusion_date", "date"),
+    ),
+    "countries": (Field("code", required=True), Field("description", required=True)),
+    "cities": (Field("code", required=True), Field("description", required=True)),
+    "partner_qualifications": (Field("code", required=True), Field("description", required=True)),
+    "legal_natures": (Field("code", required=True), Field("description", required=True)),
+    "cnaes": (Field("code", required=True), Field("description", required=True)),
+    "reasons": (Field("code", required=True), Field("description", required=True)),
+}
 
 STAGED = ("companies", "establishments", "simples_options", "partners")  # in the order of materialisation
 LOOKUPS = ("countries", "cities", "partner_qualifications", "legal_natures", "cnaes", "reasons")

@@ -6,19 +6,17 @@ import os
 import re
 import unicodedata
 import zipfile
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..errors import ValidationError
 from ..functions.parsing import utrim, without_nul
 from ..model import FULL_NAMES, LAYOUTS, SHORT_NAMES
 
 
-class ValidationError(Exception):
-    code = "VALIDATION_ERROR"
-
-
 @dataclass(frozen=True)
 class Entry:
     path: str
@@ -81,14 +79,26 @@ def summary(entries: list[Entry]) -> dict:
     return {"mode": mode, "counts": counts, "missing": [d for d in LAYOUTS if d not in counts], "next": "extract" if mode in ("zip-only", "mixed") else "validate"}
 
 
+def selected(root: str) -> tuple[str, list[Entry]]:
+    """The folder to validate and its entries: of a mixed tree what was extracted, by paths from there, or else all but archives."""
+    entries = inspect(root)
+    if input_mode(entries) != "mixed":
+        return os.path.abspath(root), entries
+    inner = [e for e in entries if e.path == "extracted" or e.path.startswith("extracted/")]
+    if inner:
+        return os.path.abspath(os.path.join(root, "extracted")), [replace(e, path=e.path.removeprefix("extracted/") if e.path != "extracted" else ".") for e in inner]
+    return os.path.abspath(root), [e for e in entries if not e.path.lower().endswith(".zip")]
+
+
 def validate(root: str) -> dict:
-    """ok, errors, warnings, present and missing datasets; only files count."""
-    entries = [e for e in inspect(root) if e.kind == "file"]
-    unknown = [e.path for e in entries if e.type == "unknown"]
-    present = [d for d in LAYOUTS if any(e.type == d for e in entries)]
+    """ok, errors, warnings, present and missing datasets, the folder and its entries; only files count."""
+    path, entries = selected(root)
+    files = [e for e in entries if e.kind == "file"]
+    unknown = [e.path for e in files if e.type == "unknown"]
+    present = [d for d in LAYOUTS if any(e.type == d for e in files)]
     missing = [d for d in LAYOUTS if d not in present]
     errors = [f"Missing dataset: {d}" for d in missing]
-    return {"ok": not errors, "errors": errors, "warnings": [f"Unknown file: {x}" for x in unknown[:5]], "present": present, "missing": missing, "next": "sanitize" if not errors else "extract"}
+    return {"ok": not errors, "errors": errors, "warnings": [f"Unknown file: {x}" for x in unknown[:5]], "present": present, "missing": missing, "next": "sanitize" if not errors else "extract", "path": path, "entries": entries}
 
 
 def extract(root: str, out: str | None = None) -> list[dict]:
@@ -117,22 +127,38 @@ def read_lines(spark: SparkSession, path: str | list[str], recursive: bool = Fal
     """file_path, start (offset of its split), value: lines end at LF only; one CR before it goes; bad bytes become U+FFFD."""
     raw = spark.read.option("lineSep", "\n").option("recursiveFileLookup", str(recursive).lower()).text(path)
     value = F.regexp_replace(F.make_valid_utf8("value"), "\r$", "")
-    return raw.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"), F.octet_length("value").alias("bytes"), value.alias("value"))
+    return raw.select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_size").alias("file_size"),
+        F.monotonically_increasing_id().alias("at"), F.octet_length("value").alias("bytes"), F.endswith("value", F.lit("\r")).alias("cr"), value.alias("value"),
+    )
 
 
-def numbered(lines: DataFrame) -> DataFrame:
+def numbered(lines: DataFrame, after: int = 0) -> DataFrame:
     """With line_number, row_number (blank lines don't count) and next_offset, for each file by itself.
 
-    The lines of a split are counted first; a window then runs over splits, not
-    over all lines of a file, and a second one over a split's lines.
+    after: only lines that start at this offset or later, numbered from there.
+    A last line without LF keeps its CR.  The lines of a split are counted
+    first; a window then runs over splits, not over all lines of a file, and a
+    second one over a split's lines.
     """
-    filled = (utrim(F.col("value")) != "").cast("long")
+    size = F.col("bytes") + 1
     own = Window.partitionBy("file_path", "start").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    parts = lines.groupBy("file_path", "start").agg(F.count(F.lit(1)).alias("n"), F.sum(filled).alias("f"), F.sum(F.col("bytes") + 1).alias("b"))
     before = Window.partitionBy("file_path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("file_path", "start", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in "nfb"])
-    rows = lines.withColumns({"n": F.count(F.lit(1)).over(own), "f": F.sum(filled).over(own), "b": F.sum(F.col("bytes") + 1).over(own)}).join(parts, ["file_path", "start"])
-    return rows.select("file_path", (F.col("n") + F.col("n0")).alias("line_number"), (F.col("f") + F.col("f0")).alias("row_number"), (F.col("b") + F.col("b0")).alias("next_offset"), "value")
+
+    def places(rows: DataFrame, **sums) -> DataFrame:
+        parts = rows.groupBy("file_path", "start").agg(*[F.sum(v).alias(k) for k, v in sums.items()])
+        parts = parts.select("file_path", "start", *[F.coalesce(F.sum(k).over(before), F.lit(0)).alias(f"{k}0") for k in sums])
+        return rows.withColumns({k: F.sum(v).over(own) for k, v in sums.items()}).join(parts, ["file_path", "start"]).withColumns({k: F.col(k) + F.col(f"{k}0") for k in sums}).drop(*[f"{k}0" for k in sums])
+
+    filled = (utrim(F.col("value")) != "").cast("long")
+    if after:
+        rows = places(places(lines, b=size).filter(F.col("b") - size >= after), n=F.lit(1), f=filled)
+    else:
+        rows = places(lines, n=F.lit(1), f=filled, b=size)
+    end = F.col("b")
+    open_end = end > F.col("file_size")
+    value = F.when(open_end & F.col("cr"), F.concat("value", F.lit("\r"))).otherwise(F.col("value"))
+    return rows.select("file_path", F.col("n").alias("line_number"), F.col("f").alias("row_number"), F.least(end, "file_size").alias("next_offset"), value.alias("value"))
 
 
 def row_counts(lines: DataFrame) -> DataFrame:
@@ -146,26 +172,56 @@ def sanitized(lines: DataFrame) -> DataFrame:
     return lines.withColumn("removed", n).withColumn("value", clean)
 
 
+def opened(path: str):
+    """(file system, path in it) of a path or URI, for any store that pyarrow opens."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = re.sub(r"^file:/+", "/", path)
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), os.path.abspath(path))
+
+
+def _blocks(stream, size: int = 8 << 20) -> Iterator[bytes]:
+    while block := stream.read(size):
+        yield block
+
+
 def sanitize_tree(spark: SparkSession, root: str, out: str) -> DataFrame:
-    """Every file below root without NUL bytes to the same place below out; path, bytes, removed, changed."""
-    base = os.path.abspath(root)
+    """Every file below root without NUL bytes to the same place below out; path, bytes, removed, changed.
+
+    Each file is streamed by one task in blocks, to a name of the attempt that
+    is moved into place at the end.  root and out are folders that all machines
+    share.
+    """
+    store, base = opened(root)
+    _, target = opened(out)
 
     def job(batches):
+        import uuid
+
         import pyarrow as pa
 
+        own, _ = opened(root)
+        there, _ = opened(out)
         for batch in batches:
             rows = []
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rel = os.path.relpath(re.sub(r"^file:/+", "/", path), base)
-                to = os.path.join(out, rel)
-                os.makedirs(os.path.dirname(to), exist_ok=True)
-                clean = content.replace(b"\0", b"")
-                with open(f"{to}.{os.getpid()}", "wb") as f:
-                    f.write(clean)
-                os.replace(f"{to}.{os.getpid()}", to)
-                rows.append((rel, len(clean), len(content) - len(clean), clean.count(b"\n") + (bool(clean) and not clean.endswith(b"\n"))))
+            for path in batch.column(0).to_pylist():
+                rel = os.path.relpath(opened(path)[1], base)
+                to, size, removed, lines, last = f"{target}/{rel}", 0, 0, 0, b""
+                there.create_dir(os.path.dirname(to), recursive=True)
+                part = f"{to}.{uuid.uuid4().hex}"
+                with own.open_input_stream(opened(path)[1]) as source, there.open_output_stream(part) as sink:
+                    for block in _blocks(source):
+                        clean = block.replace(b"\0", b"")
+                        removed += len(block) - len(clean)
+                        size += len(clean)
+                        lines += clean.count(b"\n")
+                        last = clean[-1:] or last
+                        sink.write(clean)
+                there.move(part, to)
+                rows.append((rel, size, removed, lines + (bool(size) and last != b"\n")))
             columns = list(zip(*rows, strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["path", "bytes", "removed", "lines"])
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-    return files.select("path", "content").mapInArrow(job, "path string, bytes long, removed long, lines long").withColumn("changed", F.col("removed") > 0)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return files.select("path").mapInArrow(job, "path string, bytes long, removed long, lines long").withColumn("changed", F.col("removed") > 0)
