@@ -11,9 +11,10 @@ import sys
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
-from . import api, ddl, logs, model, settings
+from . import api, ddl, logs, model, reporters, settings
+from .errors import AppError, ValidationError
+from .operators.export import export_copy
 from .sources import files as S
-from .sources.files import ValidationError
 from .warehouse import Warehouse, label
 
 
@@ -37,16 +38,25 @@ def parser() -> argparse.ArgumentParser:
     command(commands, "model")
     p = command(commands, "schema")
     p.add_argument("action", choices=("print", "generate"))
-    p.add_argument("--profile", default="full", choices=sorted(ddl.PROFILES))
-    p.add_argument("--output", default="schema.sql")
+    p.add_argument("--profile")
+    p.add_argument("--name")
+    p.add_argument("--output", help="folder, the current one by default")
     for name in ("import", "load", "materialize"):
         p = command(commands, name, "path")
         p.add_argument("--dataset")
         p.add_argument("--load-batch-size", type=int, default=500)
         p.add_argument("--materialize-batch-size", type=int, default=50_000)
         p.add_argument("--reconcile-lookups", action="store_true")
+        p.add_argument("--batches-a-commit", type=int, default=api.Options.batches_a_commit)
+        p.add_argument("--chunks-a-commit", type=int, default=api.Options.chunks_a_commit)
         p.add_argument("--verbose-progress", action="store_true")
         p.add_argument("-f", "--force", action="store_true")
+    p = command(commands, "stream", "path")
+    p.add_argument("--dataset", required=True)
+    p.add_argument("--checkpoint", required=True)
+    p = command(commands, "export")
+    p.add_argument("table", choices=(*model.STAGED, *model.LOOKUPS))
+    p.add_argument("output")
     under = commands.add_parser("quarantine").add_subparsers(dest="action", required=True)
     for name in ("stats", "list"):
         p = command(under, name)
@@ -83,7 +93,7 @@ def _rows(df) -> list[dict]:
 
 def _quarantine(w: Warehouse, a):
     if a.action == "show":
-        return api.quarantine_show(w, a.id).asDict()
+        return api.quarantine_show(w, a.id).asDict() | {"payload": api.quarantine_payload(w, a.id)}
     filters = {"dataset": a.dataset, "category": a.category, "stage": a.stage, "retryable": a.retryable, "terminal": a.terminal}
     if a.action == "list":
         return _rows(api.quarantine_list(w, a.limit, a.after_id, **filters))
@@ -108,14 +118,23 @@ def _import(w: Warehouse, a):
     if not confirmed(f"{a.command} {a.path} into {label(w.path)}?", a.force):
         return {"cancelled": True}
 
+    reporter = reporters.Reporter()
+
     def told(event: dict) -> None:
         if a.logs:
             logs.append_line(os.path.join(a.logs, "progress.jsonl"), event, command=a.command)
         if a.verbose_progress:
             print(json.dumps(event, default=str), file=sys.stderr)
+        elif logs.level_of(event["event"]) != "debug":
+            reporter(event)
 
-    options = api.Options(a.dataset, a.load_batch_size, a.materialize_batch_size, a.reconcile_lookups, told)
-    return {"import": api.run_import, "load": api.load, "materialize": api.materialize}[a.command](w, a.path, options)
+    options = api.Options(a.dataset, a.load_batch_size, a.materialize_batch_size, a.reconcile_lookups, told, a.batches_a_commit, a.chunks_a_commit)
+    try:
+        out = {"import": api.run_import, "load": api.load, "materialize": api.materialize}[a.command](w, a.path, options)
+    finally:
+        reporter.close()
+    print(reporters.summary(f"{a.command} of {a.path}", out), file=sys.stderr)
+    return out
 
 
 def _config(a):
@@ -128,13 +147,14 @@ def _config(a):
 
 def run(a, spark: SparkSession | None):
     """(result, success)"""
-    if a.command in ("inspect", "validate", "extract", "import", "load", "sanitize") and not os.path.isdir(a.path):
+    if a.command in ("inspect", "validate", "extract", "import", "load", "sanitize", "stream") and not os.path.isdir(a.path):
         raise ValidationError(f"no folder {a.path}")
     if a.command == "inspect":
         entries = S.inspect(a.path)
         return S.summary(entries) | {"entries": [dataclasses.asdict(e) for e in entries]}, True
     if a.command == "validate":
         found = S.validate(a.path)
+        del found["entries"]
         return found, found["ok"]
     if a.command == "extract":
         done = S.extract(a.path, a.output)
@@ -145,7 +165,7 @@ def run(a, spark: SparkSession | None):
         text = ddl.generate(a.profile)
         if a.action == "print":
             return text, True
-        path = a.output if a.output.endswith(".sql") else a.output + ".sql"
+        path = os.path.abspath(os.path.join(a.output or os.getcwd(), ddl.file_name(ddl.profile_of(a.profile), a.name)))
         with open(path, "w", encoding="utf-8") as f:
             f.write(text)
         return {"written": path}, True
@@ -160,18 +180,24 @@ def run(a, spark: SparkSession | None):
     w = Warehouse(spark, settings.warehouse_path(a.warehouse))
     if a.command == "quarantine":
         return _quarantine(w, a), True
+    if a.command == "export":
+        export_copy(w.read(a.table), a.output)
+        return {"written": a.output}, True
+    if a.command == "stream":
+        return {"batches": api.stream(w, a.path, a.dataset, a.checkpoint)}, True
     if a.command == "database":
         return (w.ping() or "reachable", True) if a.action == "test" else (_cleanup(w, a), True)
     return _import(w, a), True
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
+    args = sys.argv[1:] if args is None else args
     a = parser().parse_args(args)
-    name = " ".join(x for x in (a.command, getattr(a, "action", None)) if x)
+    name = logs.command_label(args[2:] if args and args[0] == "--warehouse" else args)
     try:
         result, ok = run(a, spark)
-    except (ValidationError, LookupError, ValueError, OSError, PySparkException) as e:
-        print(f"{getattr(e, 'code', 'APP_ERROR')}: {e}", file=sys.stderr)
+    except (AppError, LookupError, ValueError, OSError, PySparkException) as e:
+        print(f"{e.code if isinstance(e, AppError) else 'UNEXPECTED_ERROR'}: {e}", file=sys.stderr)
         if a.logs:
             logs.write_command(a.logs, name, {"error": str(e)}, "error", str(e))
         return 1

@@ -37,6 +37,20 @@ def slug(text: str) -> str:
     return re.sub(r"[^a-z0-9]+", "-", text.lower()).strip("-")
 
 
+# Commands that are named with one or two words more.
+TWO_WORDS, THREE_WORDS = {"quarantine"}, {"database"}
+
+
+def command_label(words: list[str]) -> str:
+    """How a command is called in the names of logs."""
+    words = [w for w in words if w.strip()]
+    plain = next((i for i, w in enumerate(words) if w.startswith("-")), len(words))
+    most = 3 if words and words[0] in THREE_WORDS else 2 if words and words[0] in TWO_WORDS else 1
+    if not plain:
+        return "cli"
+    return "-".join(words[:most]) if plain >= most else words[0]
+
+
 def write_command(folder: str, command: str, payload, status: str = "success", message: str | None = None) -> str:
     """The path of the log that was written."""
     os.makedirs(folder, exist_ok=True)
