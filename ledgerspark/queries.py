@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import parsing as P
-from .model import DEFAULTS, LAYOUTS, Field
+from .model import DEFAULTS, LAYOUTS, REFERENCES, Field, schema
 from .operators import materialize as M
 from .operators import normalize as N
 from .operators import quarantine as Q
 from .operators import tables as TB
+from .operators.export import copy_lines
 from .plans import planning as PL
+from .sources import files as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -371,3 +373,104 @@ def table_counts(spark, sf):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@query("""SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'companies' WHEN 1 THEN 'establishments' WHEN 2 THEN 'cities' WHEN 3 THEN 'zip-archive' WHEN 4 THEN 'unknown' WHEN 5 THEN 'companies' WHEN 6 THEN 'cnaes' ELSE 'partners' END AS dataset FROM documents""")
+def dataset_infer(spark, sf):
+    """The dataset of names of both spellings; a table of the different names is made on the driver."""
+    names = ("x/Empresas0.CSV", "K3241.ESTABELE", "Munic\u00edpios1.csv", "socios/Socios2.zip", "readme.txt", "a/EMPRECSV", "F.K03200.CNAECSV", "S\u00f3cios")
+    known = spark.createDataFrame([(i, S.dataset_of(n)) for i, n in enumerate(names)], "i bigint, dataset string")
+    return table(spark, sf, "documents").withColumn("i", F.col("doc_id") % 8).join(F.broadcast(known), "i").select("doc_id", "dataset")
+
+
+def _file_lines(spark, sf):
+    """Each document as a file of one split; every third line ends in CR LF."""
+    lines = table(spark, sf, "documents").select("doc_id", "text", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    lines = lines.filter(~((F.col("line") == "") & (F.col("i") == F.size(F.split("text", "\n")) - 1)))
+    cr = F.col("i") % 3 == 0
+    return lines.select(
+        F.col("doc_id").cast("string").alias("file_path"), F.lit(0).cast("long").alias("start"), F.octet_length("text").cast("long").alias("size"), F.col("i").cast("long").alias("at"),
+        (F.octet_length("line") + cr.cast("int")).alias("bytes"), cr.alias("cr"), F.col("line").alias("value"), F.endswith("text", F.lit("\n")).alias("ended"),
+    )
+
+
+def _numbered(spark, sf, after=0):
+    lines = _file_lines(spark, sf)
+    sizes = lines.groupBy("file_path").agg((F.sum(F.col("bytes") + 1) - F.max(F.when(F.col("ended"), 0).otherwise(1))).alias("file_size"))
+    return S.numbered(lines.join(sizes, "file_path").drop("size", "ended"), after)
+
+
+LINES = """
+    SELECT doc_id, text, CAST(i AS BIGINT) AS i, line, (i - 1) % 3 = 0 AS cr FROM (
+        SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+    WHERE NOT (line = '' AND i = len(string_split(text, chr(10))))"""
+PLACED = f"""
+    SELECT doc_id, i, line, cr, text, sum(strlen(line) + cr::INT + 1) OVER (PARTITION BY doc_id ORDER BY i) AS b, sum(strlen(line) + cr::INT + 1) OVER (PARTITION BY doc_id) AS whole FROM ({LINES})"""
+#: the last line of a document that does not end in LF has none
+NUMBERED = """
+    SELECT CAST(doc_id AS VARCHAR) AS file_path, row_number() OVER o AS line_number, CAST(sum((trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12) || chr(160)) <> '')::INT) OVER o AS BIGINT) AS row_number,
+        CAST(CASE WHEN b = whole AND NOT suffix(text, chr(10)) THEN b - 1 ELSE b END AS BIGINT) AS next_offset, line || CASE WHEN cr AND b = whole AND NOT suffix(text, chr(10)) THEN chr(13) ELSE '' END AS value
+    FROM ({placed}) WINDOW o AS (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING)"""
+
+
+@query(NUMBERED.format(placed=PLACED))
+def line_numbers(spark, sf):
+    """Lines with numbers and offsets; a last line without LF keeps its CR."""
+    return _numbered(spark, sf)
+
+
+@query(NUMBERED.format(placed=f"SELECT * FROM ({PLACED}) WHERE b - strlen(line) - cr::INT - 1 >= 300"))
+def resumed_lines(spark, sf):
+    """Lines that start at offset 300 or later, numbered from there."""
+    return _numbered(spark, sf, 300)
+
+
+@query("SELECT page_id, CASE WHEN len(string_split(url, '/')) > 1 THEN string_split(url, '/')[-2] || ' > ' || string_split(url, '/')[-1] ELSE url END AS shown FROM pages")
+def display_path(spark, sf):
+    return table(spark, sf, "pages").select("page_id", P.display_path(F.col("url")).alias("shown"))
+
+
+@query(r"""SELECT conv_id || chr(9) || turn || chr(9) || CASE WHEN turn % 3 = 0 THEN '\N' ELSE replace(replace(replace(replace('\' || text || chr(13) || chr(11), '\', '\\'), chr(10), '\n'), chr(13), '\r'), chr(11), '\v') END || chr(9) || CASE WHEN role = 'user' THEN 't' ELSE 'f' END AS value FROM conversations""")
+def copy_text(spark, sf):
+    """Rows as COPY text: escaped, missing values as \\N, booleans as t and f."""
+    text = F.when(F.col("turn") % 3 != 0, F.concat(F.lit("\\"), "text", F.lit("\r\x0b")))
+    return copy_lines(table(spark, sf, "conversations").select("conv_id", "turn", text.alias("text"), (F.col("role") == "user").alias("own")))
+
+
+@query("""SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS code, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS description FROM orders""")
+def payload_round_trip(spark, sf):
+    """A quarantined row's fields to JSON and back."""
+    fields = F.struct(F.lpad(F.col("o_orderkey").cast("string"), 8, "0").alias("code"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).alias("description"))
+    rows = table(spark, sf, "orders").select("o_orderkey", F.to_json(fields, {"ignoreNullFields": "false"}).alias("p"))
+    return rows.select("o_orderkey", F.from_json("p", schema("cities")).alias("p")).select("o_orderkey", "p.*")
+
+
+@query("""SELECT user_id AS file_size, event_type AS dataset, max(event_id) AS rows_committed, CAST(CASE WHEN max(event_id) % 2 = 0 THEN 'completed' ELSE 'in_progress' END AS VARCHAR) AS status FROM events GROUP BY 1, 2""")
+def checkpoint_upsert(spark, sf):
+    """Checkpoints of two commits, one after the other: the later one of a file stands, other files' stay."""
+    rows = table(spark, sf, "events").select(F.col("event_type").alias("dataset"), F.col("user_id").alias("file_size"), F.col("event_id").alias("rows_committed"), F.when(F.col("event_id") % 2 == 0, "completed").otherwise("in_progress").alias("status"))
+    keys, half = ("dataset", "file_size"), rows.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY rows_committed)")).first()[0]
+    first, second = (TB.last_wins(rows.filter(c), keys, "rows_committed") for c in (F.col("rows_committed") <= half, F.col("rows_committed") > half))
+    return TB.upsert(first, second, keys).select("file_size", "dataset", "rows_committed", "status")
+
+
+@query("""SELECT lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS cnpj_root, arg_max(CASE WHEN l_linenumber % 2 = 0 THEN 'S' ELSE 'N' END, id) AS simples_option_flag, max(id) AS staging_id
+    FROM (SELECT *, l_orderkey * 100000000 + l_partkey * 100 + l_linenumber AS id FROM lineitem) GROUP BY 1""")
+def merge_chunks(spark, sf):
+    """Staged rows taken in by chunks of ids; what several chunks have of a key becomes one row, the last."""
+    rows = table(spark, sf, "lineitem").select(
+        F.lpad(F.col("l_orderkey").cast("string"), 8, "0").alias("cnpj_root"), F.when(F.col("l_linenumber") % 2 == 0, "S").otherwise("N").alias("simples_option_flag"),
+        (F.col("l_orderkey") * 100000000 + F.col("l_partkey") * 100 + F.col("l_linenumber")).alias("staging_id"), F.lit(None).cast("string").alias("mei_option_flag"),
+    )
+    cut = F.col("staging_id") % 3  # chunks by id; any split gives the same
+    chunks = [M.deduped(M.keyed(rows.filter(cut == k), "simples_options"), "simples_options") for k in range(3)]
+    return M.checked(M.deduped(chunks[0].unionByName(chunks[1]).unionByName(chunks[2]), "simples_options"), "simples_options").select("cnpj_root", "simples_option_flag", "staging_id")
+
+
+@query("""SELECT column_name, target FROM (VALUES ('legal_nature_code', 'legal_natures'), ('responsible_qualification_code', 'partner_qualifications'), ('company_size_code', 'company_sizes')) t(column_name, target)""")
+def referring_columns(spark, sf):
+    """Coded columns of a stored table and the lookups they refer to: a join of the catalog with what refers to what."""
+    stored = company_rows(spark, sf).schema
+    columns = spark.createDataFrame([("companies", f.name) for f in stored], "table_name string, column_name string")
+    refers = spark.createDataFrame([(d, c, t) for d, of in REFERENCES.items() for c, t in of.items()], "table_name string, column_name string, target string")
+    return refers.join(columns, ["table_name", "column_name"]).select("column_name", "target")
