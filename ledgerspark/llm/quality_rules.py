@@ -12,7 +12,7 @@ scatter is found:
    spatial signs; and the vectors' mean and covariance.
 2. From each, concentration steps: the ``share`` of the vectors that is nearest
    gives the next estimate.  A step's determinant is compared with the last one;
-   a start goes on until it no longer falls (or ``steps`` are done).
+   a start goes on until it no longer falls (or all rounds are done).
 3. The estimate with the least determinant of all is reweighted: all vectors
    that are near by it, scaled to be right for normal data, give the last one.
 
@@ -106,7 +106,7 @@ ESTIMATE = [*[f"m{i}" for i in D], *[f"l{i}{j}" for i, j in PAIRS]]
 
 
 def _hold(table: DataFrame, most: int = HOLD):
-    """How to join with a table: broadcast if a count shows that it is small."""
+    """How to join with a table, and others of no more rows: broadcast if a count shows that it is small."""
     return F.broadcast if table.limit(most + 1).count() <= most else (lambda x: x)
 
 
@@ -119,6 +119,10 @@ def _covariance(name: str, i: int, j: int, n: Column) -> Column:
     return F.col(f"{name}{i}{j}") / n - (F.col(f"{name}{i}") / n) * (F.col(f"{name}{j}") / n)
 
 
+#: What goes along with an estimate from step to step: the number of vectors and the resolutions.
+ALONG = ["n", *[f"floor{i}" for i in D]]
+
+
 def _root(rows: DataFrame, *keep: str) -> DataFrame:
     """Cholesky: c = l l', column by column, as expressions; and the log of the determinant of l."""
     for j in D:
@@ -140,19 +144,17 @@ def distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d2", reduce(lambda a, b: a + b, [F.col(y) ** 2 for y in names])).drop(*names)
 
 
-def _starts(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, start, estimate) and (key, n, floor0..) for cells (key, z0.., w, r0..)."""
+def _starts(cells: DataFrame, hold) -> DataFrame:
+    """(key, start, n, floor0.., the estimate, logdet) for cells (key, z0.., w, r0..)."""
     middle = cells.groupBy("key").agg(F.sum("w").alias("n"), *[(F.sum(r) / F.sum("w")).alias(f"floor{i}") for i, r in enumerate(R)], *[F.percentile(z, F.lit(0.5), F.col("w")).alias(f"m{i}") for i, z in enumerate(Z)])
-    middle = written(middle, "middle")
-    near = cells.join(_hold(middle)(middle), "key")
-    spread = near.groupBy("key").agg(*[F.percentile(F.abs(F.col(f"z{i}") - F.col(f"m{i}")), F.lit(0.5), F.col("w")).alias(f"a{i}") for i in D])
-    middle = written(middle.join(spread, "key").select("key", "n", *[f"floor{i}" for i in D], *[f"m{i}" for i in D], *[F.sqrt((1.4826 * F.col(f"a{i}")) ** 2 + F.col(f"floor{i}")).alias(f"s{i}") for i in D]), "middle")
-    near = cells.join(_hold(middle)(middle), "key")
+    spread = cells.join(hold(middle), "key").groupBy("key").agg(*[F.first(c).alias(c) for c in ALONG], *[F.first(f"m{i}").alias(f"m{i}") for i in D], *[F.percentile(F.abs(F.col(f"z{i}") - F.col(f"m{i}")), F.lit(0.5), F.col("w")).alias(f"a{i}") for i in D])
+    middle = written(spread.select("key", *ALONG, *[f"m{i}" for i in D], *[F.sqrt((1.4826 * F.col(f"a{i}")) ** 2 + F.col(f"floor{i}")).alias(f"s{i}") for i in D]), "middle")
+    near = cells.join(hold(middle), "key")
     u = [(F.col(f"z{i}") - F.col(f"m{i}")) / F.col(f"s{i}") for i in D]
     size = F.greatest(F.sqrt(reduce(lambda a, b: a + b, [x * x for x in u])), F.lit(1e-9))
     whole = lambda c: F.round(c * UNIT).cast("long")
     sums = near.groupBy("key").agg(*_moments([whole(F.tanh(x)) for x in u], "t"), *_moments([whole(x / size) for x in u], "g"), *_moments([F.col(z) for z in Z], "x"))
-    sums, n = middle.join(sums, "key"), F.col("n").cast("double")
+    sums, n = middle.join(hold(sums), "key"), F.col("n").cast("double")
 
     def correlated(name: str, i: int, j: int) -> Column:
         spread = F.sqrt(F.greatest(_covariance(name, i, i, n), F.lit(1.0)) * F.greatest(_covariance(name, j, j, n), F.lit(1.0)))
@@ -160,52 +162,60 @@ def _starts(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     floor = lambda i, j: F.col(f"floor{i}") if i == j else F.lit(0.0)
     kinds = (lambda i, j: F.col(f"s{i}") ** 2 if i == j else F.lit(0.0), lambda i, j: correlated("t", i, j), lambda i, j: correlated("g", i, j), lambda i, j: _covariance("x", i, j, n) + floor(i, j))
-    tables = [sums.select("key", F.lit(k).alias("start"), *[(F.col(f"x{i}") / n if k == 3 else F.col(f"m{i}")).alias(f"m{i}") for i in D], *[kind(i, j).alias(f"c{i}{j}") for i, j in PAIRS]) for k, kind in enumerate(kinds)]
-    starts = _root(reduce(DataFrame.unionByName, tables), "key", "start").withColumn("logdet", F.lit(float("inf")))
-    return starts, middle.select("key", "n", *[f"floor{i}" for i in D])
+    values = lambda k: [(F.col(f"x{i}") / n if k == 3 else F.col(f"m{i}")).alias(f"m{i}") for i in D] + [kinds[k](i, j).alias(f"c{i}{j}") for i, j in PAIRS]
+    each = sums.select("key", *ALONG, F.explode(F.array(*[F.struct(F.lit(k).alias("start"), *values(k)) for k in range(STARTS)])).alias("x")).select("key", *ALONG, "x.*")
+    return _root(each, "key", "start", *ALONG).withColumn("logdet", F.lit(float("inf")))
 
 
-def _binned(cells: DataFrame, estimate: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Sums over the cells of each key, start and bin of distances, with the weight of the bins before."""
-    near = distance(cells.join(_hold(estimate)(estimate), "key"))
+def _binned(cells: DataFrame, estimate: DataFrame, hold) -> DataFrame:
+    """Sums over the cells of each key, start and bin of distances, with the weight of all bins up to each."""
+    near = distance(cells.join(hold(estimate.withColumnRenamed("logdet", "last")), "key"))
     near = near.withColumn("bin", F.floor(F.log2(1 + F.least(F.col("d2"), F.lit(1e12))) * BINS).cast("long"))
-    bins = near.groupBy("key", "start", "bin").agg(F.sum("w").alias("w"), *_moments([F.col(z) for z in Z], "x"))
-    bins = bins.join(_hold(sizes)(sizes), "key")
+    bins = near.groupBy("key", "start", "bin").agg(F.sum("w").alias("w"), *[F.first(c).alias(c) for c in (*ALONG, "last")], *_moments([F.col(z) for z in Z], "x"))
     return bins.withColumn("upto", F.sum("w").over(Window.partitionBy("key", "start").orderBy("bin")))
 
 
 def _summed(bins: DataFrame, part: Column, scale: float) -> DataFrame:
     """The estimates of bins that count in part."""
-    part = part.cast("double")
-    keys = ("key", "start")
-    sums = bins.filter(part > 0).groupBy(*keys).agg(F.sum(F.col("w") * part).alias("total"), *[F.first(f"floor{i}").alias(f"floor{i}") for i in D], *[F.sum(F.col(f"x{i}") * part).alias(f"x{i}") for i in D], *[F.sum(F.col(f"x{i}{j}") * part).alias(f"x{i}{j}") for i, j in PAIRS])
+    part, along = part.cast("double"), ("key", "start", *ALONG, "last")
+    sums = bins.filter(part > 0).groupBy("key", "start").agg(F.sum(F.col("w") * part).alias("total"), *[F.first(c).alias(c) for c in (*ALONG, "last")], *[F.sum(F.col(f"x{i}") * part).alias(f"x{i}") for i in D], *[F.sum(F.col(f"x{i}{j}") * part).alias(f"x{i}{j}") for i, j in PAIRS])
     n = F.col("total")
-    return _root(sums.select(*keys, *[(F.col(f"x{i}") / n).alias(f"m{i}") for i in D], *[(scale * _covariance("x", i, j, n) + (F.col(f"floor{i}") if i == j else F.lit(0.0))).alias(f"c{i}{j}") for i, j in PAIRS]), *keys)
-
-
-def minimum_covariance(cells: DataFrame, share: float = 0.75, steps: int = 12) -> tuple[DataFrame, DataFrame]:
-    """(key, the reweighted estimate) and (key, start, estimate, logdet) of the least determinant, for cells (key, z0.., w, r0..)."""
-    now, sizes = _starts(cells)
-    now, found = written(now, "estimate"), []
-    for _ in range(steps):
-        bins = _binned(cells, now, sizes)
-        need = F.ceil(F.col("n") * share)
-        after = _summed(bins, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (need - (F.col("upto") - F.col("w"))) / F.col("w"))), 1.0)
-        last = now.select("key", "start", F.col("logdet").alias("last"))
-        after = written(after.join(_hold(last)(last), ["key", "start"]), "estimate")
+    return _root(sums.select(*along, *[(F.col(f"x{i}") / n).alias(f"m{i}") for i in D], *[(scale * _covariance("x", i, j, n) + (F.col(f"floor{i}") if i == j else F.lit(0.0))).alias(f"c{i}{j}") for i, j in PAIRS]), *along)
+
+
+def _nearer(cells: DataFrame, estimate: DataFrame, share: float, hold) -> DataFrame:
+    """A concentration step: the estimate of the share that is nearest, with the last step's logdet."""
+    bins = _binned(cells, estimate, hold)
+    need = F.ceil(F.col("n") * share)
+    return _summed(bins, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (need - (F.col("upto") - F.col("w"))) / F.col("w"))), 1.0)
+
+
+def minimum_covariance(cells: DataFrame, share: float = 0.75, rounds: int = 6, steps: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(key, the reweighted estimate) and (key, start, estimate, logdet) of the least determinant, for cells (key, z0.., w, r0..).
+
+    A round, which is written, is of so many steps.
+    """
+    hold = _hold(cells.select("key").distinct())
+    now, found = written(_starts(cells, hold), "estimate"), []
+    for _ in range(rounds):
+        after = now
+        for _ in range(steps):
+            after = _nearer(cells, after.drop("last"), share, hold)
+        after = written(after, "estimate")
         found.append(after)
-        now = after.filter("logdet < last - 1e-6").drop("last")
+        now = after.filter("logdet < last - 1e-6")
         if not now.limit(1).count():
             break
     rows = reduce(DataFrame.unionByName, found).drop("last")
-    least = rows.groupBy("key").agg(F.min_by(F.struct("start", *ESTIMATE, "logdet"), F.struct("logdet", "start")).alias("x")).select("key", "x.*")
+    least = rows.groupBy("key").agg(F.min_by(F.struct("start", *ALONG, *ESTIMATE, "logdet"), F.struct("logdet", "start")).alias("x")).select("key", "x.*")
     least = written(least, "estimate")
-    bins = _binned(cells, least.drop("logdet"), sizes)
+    bins = _binned(cells, least, hold)
     upper = lambda b: F.pow(F.lit(2.0), (b + 1) / BINS) - 1
     # scaled to be right for normal data, what then is near counts
     cut = F.min(F.when(F.col("upto") >= F.ceil(F.col("n") * share), F.col("bin"))).over(Window.partitionBy("key", "start"))
     bins = bins.withColumn("most", CHI_975 * F.greatest(F.lit(1.0), upper(cut) / CHI_75))
-    return written(_summed(bins, (upper(F.col("bin")) <= F.col("most")) | (F.col("upto") <= F.ceil(F.col("n") * share)), CONSISTENT).select("key", *ESTIMATE), "estimate"), least
+    near = (upper(F.col("bin")) <= F.col("most")) | (F.col("upto") <= F.ceil(F.col("n") * share))
+    return written(_summed(bins, near, CONSISTENT).select("key", *ESTIMATE), "estimate"), least
 
 
 def _places(cells: DataFrame, least: int) -> tuple[DataFrame, bool]:
