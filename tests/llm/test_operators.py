@@ -21,7 +21,7 @@ from ledgerspark.llm.language_id import counts, follow_leader, language_id, lett
 from ledgerspark.llm.lm_scoring import lm_scores
 from ledgerspark.llm.media import MediaArchive, _stored, media_features
 from ledgerspark.llm.packing import best_fit, best_fit_packing
-from ledgerspark.llm.quality_rules import quality_verdicts
+from ledgerspark.llm.quality_rules import distance, minimum_covariance, quality_verdicts
 from ledgerspark.llm.repeats import groups, jobs
 from ledgerspark.llm.substring_dedup import substring_dedup
 from ledgerspark.llm.suffix_dedup import _reader, suffix_dedup, suffix_repeats
@@ -596,6 +596,45 @@ def test_quality(docs):
     assert not any(r.kept for r in got if r.base_failed)
 
 
+def brute_mcd(x, share, floor, starts=300):
+    """The half log determinant of the best subset over many random starts, each with steps until it no longer falls."""
+    import numpy as np
+
+    r, h, best = np.random.default_rng(0), math.ceil(share * len(x)), math.inf
+    for _ in range(starts):
+        pick, last = r.choice(len(x), 6, replace=False), math.inf
+        while True:
+            own = x[pick]
+            cov = np.cov(own.T, bias=True) + np.diag(floor)
+            now = np.linalg.slogdet(cov)[1] / 2
+            if len(pick) == h and now >= last - 1e-9:
+                break
+            last = now if len(pick) == h else math.inf
+            away = x - own.mean(axis=0)
+            pick = np.argsort(np.einsum("ij,jk,ik->i", away, np.linalg.inv(cov), away))[:h]
+        best = min(best, last)
+    return best
+
+
+def test_minimum_covariance_against_brute_force(spark):
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    base = r.normal(size=(160, 4)) @ np.array([[90, 30, 0, 10], [0, 60, 20, 0], [0, 0, 40, 15], [0, 0, 0, 25]])
+    base[:40] = r.normal(size=(40, 4)) * 12 + np.array([400, -300, 200, 150])  # a quarter, far off and close together
+    data, floor = {"a": np.round(base).astype(int), "b": np.round(r.normal(size=(90, 4)) * [50, 5, 1, 0]).astype(int)}, (4, 3, 2, 1)
+    rows_ = [(k, *map(int, z), 1, *floor) for k, x in data.items() for z in x]
+    cells = spark.createDataFrame(rows_, "key string, z0 long, z1 long, z2 long, z3 long, w long, r0 long, r1 long, r2 long, r3 long")
+    cells = cells.groupBy("key", "z0", "z1", "z2", "z3").agg(*[F.sum(c).alias(c) for c in ("w", "r0", "r1", "r2", "r3")])
+    estimate, least = minimum_covariance(cells, share=0.7)
+    least = {x.key: x.logdet for x in least.collect()}
+    for k, x in data.items():
+        assert least[k] <= brute_mcd(x.astype(float), 0.7, floor) + 0.03, k
+    far = distance(cells.join(estimate, "key")).filter("key = 'a'").collect()
+    planted = {tuple(z) for z in data["a"][:40].tolist()}
+    assert all((x.d2 > 50) == ((x.z0, x.z1, x.z2, x.z3) in planted) for x in far)
+
+
 def test_quality_outliers(spark):
     r = random.Random(1)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(3, 8)))
