@@ -67,6 +67,7 @@ EDGE = "a long, b long"
 ENTRY = "key long, node long"
 MOST_LIGHT = 10
 DENSE = 24
+BATCH = 8 << 20
 OFTEN = 8
 SHORT = 16
 
@@ -120,8 +121,7 @@ def _shingles(k: int, segments: int):
     def job(batches):
         at = (TaskContext.get().partitionId() << 20) - 1
         for whole in batches:
-            for start in range(0, whole.num_rows, 32768):
-                batch = whole.slice(start, 32768)
+            for batch in (part.slice(start, 32768) for part in _slices(whole, BATCH) for start in range(0, part.num_rows, 32768)):
                 at += 1
                 sets = [x for part in _slices(batch, 1 << 20) for x in shingle_sets(part.column(1), k)]
                 seen: dict[bytes, int] = {}
