@@ -321,6 +321,9 @@ def jobs(read: Callable[[int, pa.Table], Occurrences], length: int, segments: in
                     for name, value in zip(out, values, strict=True):
                         out[name].append(value)
         if split.any():
+            anchors = np.unique(c.h[use[split]])  # come back as they are: so the last step knows whose windows to look up
+            for name, value in zip(out, (c.chunk % segments, c.chunk, raw(anchors), *[None] * 6), strict=True):
+                out[name].append(value)
             whose, h = (np.concatenate(x) for x in list(zip(*c.windows(use[split], length), strict=True))[1:])
             order = np.argsort(h, kind="stable")
             r = runs(h[order])
@@ -333,7 +336,11 @@ def jobs(read: Callable[[int, pa.Table], Occurrences], length: int, segments: in
     def cover(table):
         out = {x.split()[0]: [] for x in COVER.split(", ")}
         rows = table.to_pylist()
-        entries, single = [x for x in rows if x["key"] is not None], [x for x in rows if x["key"] is None]
+        entries, single = [x for x in rows if x["key"] is not None], [x for x in rows if x["key"] is None and x["low"] is not None]
+        for x in rows:
+            if x["low"] is None:
+                for name, value in zip(out, (x["chunk"], x["h"], None, None, None), strict=True):
+                    out[name].append(value)
         if entries:
             sizes = [np.frombuffer(x["size"], np.uint16) for x in entries]
             h, key = (joined([x[k] for x in entries], U64) for k in ("h", "key"))
@@ -368,7 +375,7 @@ def covered(c: Occurrences, back: pa.Table, length: int) -> tuple[np.ndarray, np
     """(occurrence, start, end, least place) of each stretch that a chunk was told repeats, in positions of its symbols."""
     rows = back.to_pylist()
     found = [(np.empty(0, np.int64),) * 4]
-    entries, single = [x for x in rows if x["a"] is not None], [x for x in rows if x["a"] is None]
+    entries, single = [x for x in rows if x["a"] is not None], [x for x in rows if x["a"] is None and x["low"] is not None]
     if entries and len(c.h):
         keys, a, b = joined([x["h"] for x in entries], U64), *(joined([x[k] for x in entries], np.uint16).astype(np.int64) for k in "ab")
         least = np.concatenate([unplaned(x["low"]) for x in entries])
@@ -384,7 +391,8 @@ def covered(c: Occurrences, back: pa.Table, length: int) -> tuple[np.ndarray, np
         keys, least = joined([x["h"] for x in single], U64), np.concatenate([unplaned(x["low"]) for x in single])
         order = np.argsort(keys)
         keys, least = keys[order], least[order]
-        for starts, whose, h in c.windows(np.arange(len(c.h)), length):
+        split = np.sort(joined([x["h"] for x in rows if x["low"] is None], U64))
+        for starts, whose, h in c.windows(np.flatnonzero(lookup(split, c.h)[0]), length):
             hit, at = lookup(keys, h)
             found.append((whose[hit], starts[hit], starts[hit] + length, least[at[hit]]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
