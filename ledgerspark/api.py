@@ -259,6 +259,15 @@ def load(w: Warehouse, root: str, options: Options | None = None) -> dict:
     return {"plan": plan.id, "reused": plan.reused, "datasets": done}
 
 
+def plan_status(w: Warehouse, plan_id: int) -> DataFrame:
+    """A plan's files, rows and batches by dataset, what of them is done, and the rows that staging must hold."""
+    files, plan = w.read("import_plan_files").filter(F.col("plan_id") == plan_id), next((p for p in w.control("import_plans").rows() if p["id"] == plan_id), None)
+    size = plan["batch_size"] if plan else Options.load_batch_size
+    rows = PL.hydrated(files, w.read("import_checkpoints"), size)
+    expected = PL.expected_staged(rows, Q.quarantined_rows(w.read("import_quarantine"), files, plan_id))
+    return PL.plan_totals(files, size).join(PL.hydrated_totals(rows), "dataset").join(expected.select("dataset", F.col("rows").alias("expected")), "dataset")
+
+
 EMPTY = {"status": "pending", "last_staging_id": 0, "chunks_completed": 0, "rows_materialized": 0, "staged_rows": None, "staged_max_id": None, "lookups_status": "pending", "lookups_rows": None, "lookups_max_id": None, "lookups_added": 0, "last_error": None}
 
 
@@ -271,17 +280,13 @@ def staged_state(w: Warehouse, plan_id: int, dataset: str, own: dict, options: O
         if last == own["staged_max_id"]:
             return own["staged_rows"], last
     found = M.state(staging).first()
-    files = [f for f in w.control("import_plan_files").rows() if f["plan_id"] == plan_id and f["dataset"] == dataset]
-    expected = sum(f["rows_committed"] for f in PL.resumed(files, w.control("import_checkpoints").rows()))
-    bad = 0
-    if files and not w.table("import_quarantine").read().limit(1).isEmpty():
-        counted = Q.quarantined_rows(w.read("import_quarantine"), w.read("import_plan_files"), plan_id).filter(F.col("dataset") == dataset).first()
-        bad = counted.rows if counted else 0
-    options.tell("materialization_staging_validation_completed", dataset=dataset, expected=max(0, expected - bad), staged=found.rows, quarantined=bad)
+    status = plan_status(w, plan_id).filter(F.col("dataset") == dataset).first()
+    expected, bad = (status.expected, status.rows_done - status.expected) if status else (0, 0)
+    options.tell("materialization_staging_validation_completed", dataset=dataset, expected=expected, staged=found.rows, quarantined=bad)
     if not found.rows:
-        raise ValidationError(f"staging of {dataset} is empty; {max(0, expected - bad)} rows are expected. Load it before.")
-    if expected - bad > 0 and found.rows != expected - bad:
-        raise ValidationError(f"staging of {dataset} holds {found.rows} rows, {expected - bad} are expected by the checkpoints. Load it again or clean the checkpoints.")
+        raise ValidationError(f"staging of {dataset} is empty; {expected} rows are expected. Load it before.")
+    if expected > 0 and found.rows != expected:
+        raise ValidationError(f"staging of {dataset} holds {found.rows} rows, {expected} are expected by the checkpoints. Load it again or clean the checkpoints.")
     return found.rows, found.last_id
 
 

@@ -51,6 +51,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--chunks-a-commit", type=int, default=api.Options.chunks_a_commit)
         p.add_argument("--verbose-progress", action="store_true")
         p.add_argument("-f", "--force", action="store_true")
+    command(commands, "status").add_argument("plan", type=int)
     p = command(commands, "stream", "path")
     p.add_argument("--dataset", required=True)
     p.add_argument("--checkpoint", required=True)
@@ -180,6 +181,8 @@ def run(a, spark: SparkSession | None):
     w = Warehouse(spark, settings.warehouse_path(a.warehouse))
     if a.command == "quarantine":
         return _quarantine(w, a), True
+    if a.command == "status":
+        return _rows(api.plan_status(w, a.plan)), True
     if a.command == "export":
         export_copy(w.read(a.table), a.output)
         return {"written": a.output}, True

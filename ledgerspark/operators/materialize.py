@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import parsing as P
@@ -25,9 +25,12 @@ def deduped(rows: DataFrame, dataset: str) -> DataFrame:
     return (first_wins if dataset == "partners" else last_wins)(rows, KEYS[dataset], "staging_id")
 
 
+def flags_allowed(column: str) -> Column:
+    return F.col(column).isNull() | F.col(column).isin("S", "N", "")
+
+
 def flag_violations(rows: DataFrame) -> DataFrame:
-    bad = lambda c: F.col(c).isNotNull() & ~F.col(c).isin("S", "N", "")
-    return rows.filter(bad("simples_option_flag") | bad("mei_option_flag"))
+    return rows.filter(~(flags_allowed("simples_option_flag") & flags_allowed("mei_option_flag")))
 
 
 def chunk(rows: DataFrame, after: int, size: int, column: str = "staging_id") -> DataFrame:
@@ -39,16 +42,6 @@ def state(rows: DataFrame, column: str = "staging_id") -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(column), F.lit(0)).cast("long").alias("last_id"))
 
 
-def reconciled(rows: DataFrame, dataset: str, lookups: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """For each lookup that lacks codes of the rows: the lookup with placeholders for them."""
-    out = {}
-    for column, table in REFERENCES.get(dataset, {}).items():
-        known = out.get(table, lookups[table])
-        fresh = missing_codes(rows, column, known)
-        out[table] = known.unionByName(fresh.select("code", P.placeholder(table, F.col("code")).alias("description")))
-    return out
-
-
 def with_ids(rows: DataFrame, column: str, after: int) -> DataFrame:
     """Rows with ids that rise from after, by partition: rows are counted there, never sorted together."""
     own = Window.partitionBy("__part").orderBy("__at")
@@ -62,7 +55,8 @@ def placeholders(rows: DataFrame, dataset: str, lookups: dict[str, DataFrame]) -
     """For each lookup the rows to add: placeholders for codes of any column that it lacks."""
     columns: dict[str, list[str]] = {}
     for column, table in REFERENCES.get(dataset, {}).items():
-        columns.setdefault(table, []).append(column)
+        if column in rows.columns:
+            columns.setdefault(table, []).append(column)
     out = {}
     for table, own in columns.items():
         codes = rows.select(F.explode(F.array(*own)).alias("code"))
@@ -73,8 +67,8 @@ def placeholders(rows: DataFrame, dataset: str, lookups: dict[str, DataFrame]) -
 def checked(rows: DataFrame, dataset: str) -> DataFrame:
     """The rows; a flag outside its values fails the job."""
     if dataset == "simples_options":
-        ok = lambda c: F.col(c).isNull() | F.col(c).isin("S", "N", "")
-        rows = rows.filter(F.assert_true(ok("simples_option_flag") & ok("mei_option_flag"), F.lit("violates check constraint on flags")).isNull())
+        allowed = flags_allowed("simples_option_flag") & flags_allowed("mei_option_flag")
+        rows = rows.filter(F.assert_true(allowed, F.lit("violates check constraint on flags")).isNull())
     return rows
 
 

@@ -218,8 +218,7 @@ def lookup_missing(spark, sf):
 def lookup_placeholders(spark, sf):
     rows = table(spark, sf, "orders").select(F.concat(F.lit(" "), "o_orderpriority").alias("main_cnae_code"))
     known = _lookup(spark, sf)
-    fresh = TB.missing_codes(rows, "main_cnae_code", known)
-    return known.unionByName(fresh.select("code", P.placeholder("cnaes", F.col("code")).alias("description")))
+    return known.unionByName(M.placeholders(rows, "establishments", {"cnaes": known})["cnaes"])
 
 
 @query("""SELECT lpad(CAST(l_orderkey AS VARCHAR), 8, '0') || lpad(CAST(l_linenumber AS VARCHAR), 4, '0') || CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE lpad(CAST(l_suppkey % 100 AS VARCHAR), 2, '0') END AS cnpj_full, count(*) AS n FROM lineitem GROUP BY 1""")

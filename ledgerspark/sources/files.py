@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..errors import ValidationError
-from ..functions.parsing import utrim, without_nul
+from ..functions.parsing import utrim
 from ..model import FULL_NAMES, LAYOUTS, SHORT_NAMES
 
 
@@ -166,12 +166,6 @@ def row_counts(lines: DataFrame) -> DataFrame:
     return lines.filter(utrim(F.col("value")) != "").groupBy("file_path").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def sanitized(lines: DataFrame) -> DataFrame:
-    """Lines without NUL characters, and how many each had."""
-    clean, n = without_nul(F.col("value"))
-    return lines.withColumn("removed", n).withColumn("value", clean)
-
-
 def opened(path: str):
     """(file system, path in it) of a path or URI, for any store that pyarrow opens."""
     from pyarrow import fs

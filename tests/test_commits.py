@@ -95,6 +95,8 @@ def test_commits_and_cursor(spark, tree, tmp_path):
     half = {os.path.basename(x["file_path"]): x for x in w.control("import_checkpoints").rows()}["Simples0.csv"]
     assert half["rows_committed"] == 8 and half["byte_offset"] == len("".join(SIMPLES.splitlines(True)[:10])) and w.read("staging_simples_options").count() == 8
     small.on_progress = None
+    status = api.plan_status(w, 1).first()
+    assert (status.files, status.rows, status.batches, status.rows_done, status.batches_done, status.resumed, status.expected) == (2, 15, 5, 8, 2, 1, 8)
     done = api.load(w, tree, small)["datasets"][0]
     assert (done["resumed"], done["commits"], done["rows"], done["quarantined"]) == (1, 2, 6, 1)
     assert {x["status"] for x in w.control("import_checkpoints").rows()} == {"completed"}
