@@ -16,7 +16,7 @@ segment of hashes:
    chunks are told which stretches of which surroundings repeat, and the least
    place that has the repeat.
 
-An anchor with more than ``heavy`` different surroundings in all (a passage in
+An anchor with more than ``heavy`` surroundings, different ones in each chunk (a passage in
 very many documents has two at its ends) is taken apart: each of its windows
 goes to the segment of its own hash.  Suffixes with ``length`` symbols in common
 still meet, as one key, which is the interval of that depth; so a segment never
