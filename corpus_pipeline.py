@@ -53,15 +53,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one document with the least doc_id stays; a missing one is greater than all."""
+    before = list(MADE)
     rows = written(docs.select(F.struct(*_named(docs)).alias("doc"), F.monotonically_increasing_id().alias("row")), "rows")
     groups = similar_groups(rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text"), F.col("doc.doc_id").cast("long").alias("own")), carry=("own",))
     groups = written(groups.select(F.col("doc_id").alias("row"), "own", F.col("component_id").alias("group")), "groups")
+    keep = [*before, rows.written_to]
+    discard(spark, [x for x in MADE if x not in keep and x != groups.written_to])
     # the first of a group by an aggregate, which combines before the shuffle; a group is named by one of its rows
     first = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("own").isNull().alias("none"), "own", "row"))["row"].alias("first")).filter("n > 1")
     first = written(first, "first")
     small = first.limit(HOLD + 1).count() <= HOLD
     gone = groups.join(F.broadcast(first) if small else first, "group").filter("row <> first").select("row")
     gone = written(gone, "gone")
+    discard(spark, [x for x in MADE if x not in keep and x != gone.written_to])
     if gone.limit(HOLD + 1).count() <= HOLD:
         gone = F.broadcast(gone)
     return rows.join(gone, "row", "left_anti").select("doc.*")

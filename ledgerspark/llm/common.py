@@ -41,12 +41,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 #: The folders that this session's tables were written to and that are still there.
 MADE: list[str] = []
+#: Whether Spark removes an execution's shuffle files when it ends; else they stay until the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet to the shared folder and read again: its lineage ends there."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    """df, written as Parquet to the shared folder and read again: its lineage ends there, and so do its shuffle files."""
+    path, conf = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}", df.sparkSession.conf
+    was = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression="zstd")
+    finally:
+        conf.set(CLEANUP, was) if was is not None else conf.unset(CLEANUP)
     MADE.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path

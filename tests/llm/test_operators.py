@@ -5,8 +5,10 @@ import math
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerspark.llm import queries as LQ
 from ledgerspark.llm.byte_bpe import ByteBPE, PerfectHash, byte_bpe, read_ranks
 from ledgerspark.llm.chat_format import chat_digest, chat_windows, escaped, read_back, unescaped
-from ledgerspark.llm.common import written
+from ledgerspark.llm.common import MADE, written
 from ledgerspark.llm.components import components
 from ledgerspark.llm.jaccard_join import _candidates, _lists, boundary, overlap, partners, similar_groups, subsets
 from ledgerspark.llm.language_id import counts, follow_leader, language_id, letters, spaced
@@ -782,3 +784,32 @@ def test_query_against_sql(spark, name):
     got = LQ.QUERIES[name](spark, SF)
     assert sorted(got.columns) == sorted(names)
     assert rows(got.select(*names)) == sorted(want.fetchall(), key=repr)
+
+
+def test_written_leaves_no_shuffle_files(spark, tmp_path):
+    """They went only when the driver happened to collect garbage, so a later step's disk held all earlier shuffles."""
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {Path(f).name for f in Path(held.localDirsString()[0]).rglob("shuffle_*.data")}
+    before, was = files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    table = written(spark.range(100000).groupBy((F.col("id") % 5000).alias("k")).agg(F.collect_list("id").alias("ids")), "shuffled")
+    for _ in range(50):  # they are removed behind the write
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == was
+    assert table.count() == 5000 and table.agg(F.sum(F.size("ids"))).first()[0] == 100000
+
+
+def test_near_duplicates_leaves_only_what_it_reads(spark):
+    """Called by itself: the groups' tables lay beside the result, and counted along with the stages behind it."""
+    import corpus_pipeline as C
+
+    base = [f"w{i}" for i in range(100)]
+    data = [(i, " ".join([*base[:90], f"x{i}", *base[91:]]), "en", "s", 300) for i in range(6)] + [(i, f"other {i} text", "en", "s", 12) for i in range(6, 12)]
+    docs = written(spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long"), "docs")
+    before = set(MADE)
+    out = C.near_duplicates(spark, docs, "")
+    made = {x.rsplit("/", 1)[1].rsplit("-", 1)[0] for x in MADE if x not in before}
+    assert made == {"rows", "gone"} and before <= set(MADE)
+    assert sorted(x.doc_id for x in out.collect()) == [0, *range(6, 12)]
